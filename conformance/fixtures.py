@@ -184,5 +184,17 @@ STAGING = {
 }
 
 
-def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: derive(spark, sf_dir) for name, derive in STAGING.items()}
+class Staging(dict):
+    """Staging tables by name, each derived when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = STAGING[name](self.spark, self.sf_dir)
+        return self[name]
+
+
+def staging(spark: SparkSession, sf_dir: str) -> Staging:
+    return Staging(spark, sf_dir)

@@ -17,10 +17,13 @@ class Star:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.tables: dict[str, DataFrame] = dict(staging(spark, sf_dir))
+        self.staging = staging(spark, sf_dir)
+        self.tables: dict[str, DataFrame] = {}
         self.sink = folder_sink(f"{shared_folder(spark)}/star-{uuid.uuid4().hex}")
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name.startswith("stg_"):
+            return self.staging[name]
         if name not in self.tables:
             layer = next(layer for layer, names in STEPS.items() if name in names)
             self.tables[name], _ = self.sink(layer, name, build_table(name, self))

@@ -182,10 +182,9 @@ def check_rows(df: DataFrame, table: str, rules: list[Rule], key: str) -> DataFr
         F.when(r.violated(), F.struct(F.lit(r.name).alias("rule"), F.col(r.column).cast("string").alias("value")))
         for r in rules
     ]
-    hits = df.select(F.col(key).cast("string").alias("row_key"), F.array_compact(F.array(*broken)).alias("_hits"))
-    return hits.where(F.size("_hits") > 0).select("row_key", F.inline("_hits")).select(
-        F.lit(table).alias("table_name"), "rule", "row_key", "value"
-    )
+    some = reduce(lambda a, b: a | b, [r.violated() for r in rules])
+    hits = df.where(some).select(F.col(key).cast("string").alias("row_key"), F.inline(F.array(*broken)))
+    return hits.where("rule IS NOT NULL").select(F.lit(table).alias("table_name"), "rule", "row_key", "value")
 
 
 def check_kind(df: DataFrame, table: str, kind: str, key: str) -> DataFrame:
@@ -235,12 +234,17 @@ def check_foreign_keys(tables: dict[str, DataFrame], keys: dict[str, str]) -> Da
 
 
 def quarantine_split(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
-    """Rows that pass every rule, and the others with the rules they break."""
+    """Rows that pass every rule, and the others with the rules they break.
+
+    The names of the broken rules go through a generator before they are
+    filtered on. A plain filter would be pushed below the projections that
+    compute the checked columns, and would compute each of them again for every
+    rule that mentions it.
+    """
     rules = [r for r in rules if r.column in df.columns and (not r.other or r.other in df.columns)]
-    reasons = F.array_compact(F.array(*[F.when(r.violated(), F.lit(r.name)) for r in rules]))
-    passes = ~reduce(lambda a, b: a | b, [r.violated() for r in rules])
-    rejected = df.where(~passes).withColumn("broken_rules", F.array_join(reasons, ","))
-    return df.where(passes), rejected
+    reasons = F.concat_ws(",", *[F.when(r.violated(), F.lit(r.name)) for r in rules])
+    checked = df.select(*df.columns, F.explode(F.array(reasons)).alias("broken_rules"))
+    return checked.where("broken_rules = ''").drop("broken_rules"), checked.where("broken_rules <> ''")
 
 
 def constraint_registry(spark: SparkSession) -> DataFrame:

@@ -33,8 +33,8 @@ def date_union_distinct(staging: dict[str, DataFrame], sources: dict[str, list[s
     parts = []
     for table, columns in sources.items():
         dates = F.array(*[text.parse_date(c) for c in columns])
-        parts.append(staging[table].select(F.explode(F.array_compact(dates)).alias("full_date")))
-    return reduce(DataFrame.unionByName, parts).distinct()
+        parts.append(staging[table].select(F.explode(dates).alias("full_date")))
+    return reduce(DataFrame.unionByName, parts).where("full_date IS NOT NULL").distinct()
 
 
 def build_dim_date(staging: dict[str, DataFrame]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,8 +14,12 @@ from tradewind.sources.schemas import SOURCE_FILES, STAGING
 
 LOAD_COLUMNS = ["load_timestamp", "source_file", "record_hash"]
 
-# Storage type by column kind.
+# Tables whose texts may hold line breaks.
+FREE_TEXT_TABLES = {"stg_reviews"}
+
+# Storage type by column kind (64-bit numbers keep their width).
 _STORAGE_TYPES = [
+    (T.LongType, "bigint"),
     (T.IntegralType, "int"),
     (T.FractionalType, "decimal(15,2)"),
     (T.TimestampType, "timestamp"),
@@ -24,13 +29,18 @@ _STORAGE_TYPES = [
 ]
 
 
-def csv_scan(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Headered UTF-8 CSV read as text; quoted values may hold line breaks.
+def csv_scan(
+    spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = True
+) -> DataFrame:
+    """Headered UTF-8 CSV read as text.
 
-    With ``columns`` the layout is declared and the file is read once. Without,
-    only the header is looked at first.
+    With ``columns`` the layout is declared; without, only the header is looked
+    at first. ``multi_line`` allows line breaks inside quoted values, at the
+    price of one task per file; files without free text should turn it off, so
+    that large files are split.
     """
-    reader = spark.read.option("header", True).option("encoding", "UTF-8").option("multiLine", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"')
+    reader = reader.option("multiLine", multi_line)
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     return reader.csv(path)
@@ -78,21 +88,19 @@ def source_path(folder: str, table: str, prefix: str = "", files: dict[str, str]
     return f"{folder.rstrip('/')}/{name}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(jvm_path)
-
-
 def source_catalog(
     spark: SparkSession, folder: str, prefix: str = "", files: dict[str, str] | None = None
 ) -> Iterator[tuple[str, DataFrame | None]]:
     """Each staging table with its rows, or with None when its file is missing."""
     for table in STAGING:
         path = source_path(folder, table, prefix, files)
-        if not path_exists(spark, path):
+        try:
+            raw = standardize_columns(csv_scan(spark, path, multi_line=table in FREE_TEXT_TABLES))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             yield table, None
             continue
-        raw = standardize_columns(csv_scan(spark, path))
         yield table, typed_staging(with_load_metadata(raw, path.rsplit("/", 1)[1]), table)
 
 
