@@ -347,6 +347,49 @@ CTES: dict[str, str] = {
         FROM rfm_scores""",
 }
 
+# Fixed centroids on the standardised features, so that cluster numbers are the same in both engines.
+CENTROIDS = [
+    [-0.6, 0.7, 0.5, 0.0, 0.1, 0.0, 0.6],
+    [0.9, -0.8, -0.6, 0.0, 0.0, 0.2, -0.8],
+    [0.0, 0.0, 0.0, 0.1, -1.2, 0.0, 0.0],
+]
+_FEATURES = [
+    "recency_days", "frequency_orders", "monetary_value", "avg_order_value", "avg_review_score",
+    "purchase_frequency_rate", "customer_lifetime_days",
+]
+
+
+def _squared(names: list[str], other: list[str]) -> str:
+    return " + ".join(f"({a} - ({b})) * ({a} - ({b}))" for a, b in zip(names, other))
+
+
+_Z = [f"z_{c}" for c in _FEATURES]
+_D = [_squared(_Z, [repr(v) for v in center]) for center in CENTROIDS]
+CTES["rfm_scaled"] = f"""
+    SELECT f.*, {', '.join(f'({c} - m_{c}) / s_{c} AS z_{c}' for c in _FEATURES)}
+    FROM rfm_features f, (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in _FEATURES)} FROM rfm_features)"""
+CTES["segments"] = f"""
+    SELECT * EXCLUDE (d0, d1, d2), CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS kmeans_cluster
+    FROM (SELECT *, {', '.join(f'{d} AS d{i}' for i, d in enumerate(_D))} FROM rfm_scaled)"""
+CTES["segment_means"] = """
+    SELECT kmeans_cluster, count(*) AS customers, CAST(sum(recency_days) AS DOUBLE) / count(*) AS avg_recency,
+           CAST(sum(frequency_orders) AS DOUBLE) / count(*) AS avg_frequency,
+           CAST(sum(CAST(monetary_value AS DECIMAL(30,2))) AS DOUBLE) / count(*) AS avg_monetary,
+           CAST(sum(CAST(monetary_value AS DECIMAL(30,2))) AS DOUBLE) AS total_revenue, avg(avg_review_score) AS avg_review
+    FROM segments GROUP BY kmeans_cluster"""
+CTES["vectors"] = "SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings"
+CTES["vector_centroids"] = """
+    SELECT label, list(m ORDER BY i) AS c FROM (
+        SELECT label, i, avg(v) AS m FROM (SELECT label, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM vectors) GROUP BY label, i)
+    GROUP BY label"""
+CTES["vector_spread"] = """
+    SELECT v.label, any_value(c.c) AS c, avg(list_distance(v.x, c.c)) AS s, sum(list_distance(v.x, c.c) * list_distance(v.x, c.c)) AS d2
+    FROM vectors v JOIN vector_centroids c USING (label) GROUP BY v.label"""
+CTES["dense_pairs"] = f"""
+    SELECT a.customer_sk AS a, b.customer_sk AS b FROM rfm_scaled a JOIN rfm_scaled b
+    ON {_squared(['a.' + z for z in _Z], ['b.' + z for z in _Z])} <= 0.8 * 0.8"""
+CTES["dense_core"] = "SELECT a AS customer_sk FROM dense_pairs GROUP BY a HAVING count(*) >= 10"
+
 _NAME = re.compile(r"[a-z_0-9]+")
 
 
