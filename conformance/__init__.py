@@ -3,4 +3,4 @@
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from conformance import q_builds, q_quality, q_relational, q_reports, q_scalars, q_sources  # noqa: F401
+    from conformance import q_builds, q_quality, q_relational, q_reports, q_scalars, q_segments, q_sources  # noqa: F401

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +30,9 @@ FALLBACK_K = 4
 # Helpers of the task functions travel with them: tasks need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-VECTOR = "features"
+VECTOR, WEIGHT = "features", "weight"
+POINTS_PER_PARTITION = 100_000
+PARALLEL_FITS = 8
 
 
 def feature_matrix(df: DataFrame, key: str, columns: list[str] = FEATURE_COLUMNS) -> DataFrame:
@@ -60,18 +63,46 @@ def assemble(df: DataFrame, columns: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol=VECTOR).transform(df)
 
 
-def fit_kmeans(df: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED) -> KMeansModel:
-    """Best of several starts by inertia. ``df`` holds the vector column."""
-    best = None
-    for start in range(restarts):
-        model = KMeans(
-            featuresCol=VECTOR, predictionCol="cluster", k=k, seed=seed + start, maxIter=MAX_ITERATIONS
-        ).fit(df)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
+def weighted_points(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct vectors with their number of rows.
+
+    Fitting on them gives the same objective as fitting on all rows, and reads
+    each repeated vector once per iteration. Few points are kept in few
+    partitions, since each iteration runs one task per partition.
+    """
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
+    points = materialize(assemble(counted, columns).select(VECTOR, WEIGHT), "vectors")
+    wanted = math.ceil(points.count() / POINTS_PER_PARTITION)
+    return points.coalesce(max(1, wanted)).persist()
+
+
+def fit_kmeans_all(
+    points: DataFrame, numbers: list[int], restarts: int = RESTARTS, seed: int = SEED, parallel: int = PARALLEL_FITS
+) -> dict[int, KMeansModel]:
+    """Per cluster number, the best of several starts by inertia, on :func:`weighted_points`.
+
+    The starts are independent of each other and are submitted side by side.
+    """
+
+    def fit(task: tuple[int, int]) -> KMeansModel:
+        k, start = task
+        return KMeans(
+            featuresCol=VECTOR, weightCol=WEIGHT, predictionCol="cluster", k=k, seed=seed + start, maxIter=MAX_ITERATIONS
+        ).fit(points)
+
+    tasks = [(k, start) for k in numbers for start in range(restarts)]
+    best: dict[int, KMeansModel] = {}
+    with ThreadPoolExecutor(parallel) as pool:
+        for (k, _), model in zip(tasks, pool.map(fit, tasks)):
+            if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
+                best[k] = model
     return best
 
 
+def fit_kmeans(points: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED) -> KMeansModel:
+    return fit_kmeans_all(points, [k], restarts, seed)[k]
+
+
 def centroid_order(model: KMeansModel) -> list[int]:
     """Number of each fitted cluster when the clusters are ordered by centroid."""
     centers = [tuple(c) for c in model.clusterCenters()]
@@ -92,13 +123,13 @@ def kmeans_assign(df: DataFrame, features: Column, centroids: list[list[float]],
     return df.withColumn(name, F.array_min(F.array(*choices))["i"])
 
 
-def cluster_statistics(df: DataFrame, features: str, label: str) -> DataFrame:
+def cluster_statistics(df: DataFrame, features: str, label: str, weight: str | None = None) -> DataFrame:
     """Per cluster: rows, centroid, and the sum of squared norms."""
-    vector = array_to_vector(F.col(features))
-    summary = Summarizer.metrics("count", "mean", "normL2").summary(vector)
-    grouped = df.groupBy(F.col(label).alias("label")).agg(summary.alias("s"))
+    vector, count = array_to_vector(F.col(features)), F.col(weight) if weight else F.lit(1.0)
+    summary = Summarizer.metrics("mean", "normL2").summary(vector, count)
+    grouped = df.groupBy(F.col(label).alias("label")).agg(F.sum(count).alias("n"), summary.alias("s"))
     norms = F.aggregate(vector_to_array("s.normL2"), F.lit(0.0), lambda total, x: total + x * x)
-    return grouped.select("label", F.col("s.count").alias("n"), vector_to_array("s.mean").alias("centroid"), norms.alias("norms"))
+    return grouped.select("label", "n", vector_to_array("s.mean").alias("centroid"), norms.alias("norms"))
 
 
 def with_centroid(df: DataFrame, features: str, label: str) -> DataFrame:
@@ -134,25 +165,29 @@ def davies_bouldin(df: DataFrame, features: str, label: str) -> DataFrame:
     return clusters.select((total / F.size("all")).alias("davies_bouldin"))
 
 
-def silhouette_squared(df: DataFrame, features: str, label: str) -> DataFrame:
+def silhouette_squared(df: DataFrame, features: str, label: str, weight: str | None = None) -> DataFrame:
     """Mean silhouette on squared Euclidean distance, in time linear in the rows.
 
+    ``weight`` is the number of rows that a row stands for.
+
     The mean squared distance of a row to a cluster follows from the cluster's
     size, centroid and sum of squared norms, so no pair of rows is formed.
     """
-    clusters = cluster_statistics(df, features, label)
+    clusters = cluster_statistics(df, features, label, weight)
     table = clusters.agg(F.collect_list(F.struct("label", "n", "centroid", "norms"))).scalar()
     x = F.col(features)
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
-    rows = df.select(F.col(label).alias("label"), x.alias("x"), dot(x, x).alias("xx")).withColumn("clusters", table)
+    count = F.col(weight) if weight else F.lit(1.0)
+    rows = df.select(F.col(label).alias("label"), x.alias("x"), dot(x, x).alias("xx"), count.alias("w"))
+    rows = rows.withColumn("clusters", table)
     mean = lambda c: F.col("xx") - 2 * dot(F.col("x"), c["centroid"]) + c["norms"] / c["n"]
     means = F.transform("clusters", lambda c: F.struct(c["label"].alias("label"), c["n"].alias("n"), mean(c).alias("d")))
-    rows = rows.select("label", means.alias("means"))
+    rows = rows.select("label", "w", means.alias("means"))
     own = F.filter("means", lambda m: m["label"] == F.col("label"))[0]
     other = F.array_min(F.transform(F.filter("means", lambda m: m["label"] != F.col("label")), lambda m: m["d"]))
     a = own["d"] * own["n"] / (own["n"] - 1)
-    rows = rows.select(own["n"].alias("n"), F.when(own["n"] > 1, a).alias("a"), other.alias("b"))
-    return rows.agg(F.avg(_silhouette()).alias("silhouette"))
+    rows = rows.select("w", own["n"].alias("n"), F.when(own["n"] > 1, a).alias("a"), other.alias("b"))
+    return rows.agg((F.sum(F.col("w") * _silhouette()) / F.sum("w")).alias("silhouette"))
 
 
 def _silhouette() -> Column:
@@ -226,14 +261,13 @@ def find_optimal_k(df: DataFrame, columns: list[str], max_k: int = 8, restarts:
 
     The silhouette is the linear-time one on squared distances.
     """
-    data = assemble(df, columns).select(VECTOR).persist()
+    points = weighted_points(df, columns)
     rows = []
-    for k in range(2, max_k + 1):
-        model = fit_kmeans(data, k, restarts)
-        assigned = model.transform(data).select(vector_to_array(VECTOR).alias("x"), "cluster")
-        score = silhouette_squared(assigned, "x", "cluster").first()["silhouette"]
+    for k, model in fit_kmeans_all(points, list(range(2, max_k + 1)), restarts).items():
+        assigned = model.transform(points).select(vector_to_array(VECTOR).alias("x"), "cluster", WEIGHT)
+        score = silhouette_squared(assigned, "x", "cluster", WEIGHT).first()["silhouette"]
         rows.append((k, float(model.summary.trainingCost), float(score)))
-    data.unpersist()
+    points.unpersist()
     best = max(rows, key=lambda r: (r[2], -r[0]))[0] if rows else FALLBACK_K
     return KSearch(df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double"), best)
 
@@ -290,8 +324,3 @@ def noise_report(df: DataFrame, features: str, label: str) -> DataFrame:
     )
     scored = silhouette_squared(df.where(F.col(label) != -1), features, label).scalar()
     return counts.withColumn("silhouette", F.when(F.col("n_clusters") > 1, scored))
-
-
-def frozen(df: DataFrame, label: str = "features") -> DataFrame:
-    """A written copy for algorithms that read their input many times."""
-    return materialize(df, label)

@@ -111,14 +111,15 @@ def _paired(left: DataFrame, right: DataFrame, everyone: DataFrame):
         F.col("cell").alias("home"), F.col("block").alias("home_block"), numbers("reach").alias("other"), *_carried(left)
     )
     b = right.drop("blocks").join(around.drop("blocks"), "cell").select(
-        "home", numbers("home_blocks").alias("home_block"), F.col("block").alias("other"), *_carried(right)
+        F.col("home").alias("home"), numbers("home_blocks").alias("home_block"), F.col("block").alias("other"), *_carried(right)
     )
     keys = ["home", "home_block", "other"]
     return a.groupBy(*keys).cogroup(b.groupBy(*keys))
 
 
-def _carried(df: DataFrame) -> list[str]:
-    return [c for c in ("vid", "x", "weight", "cluster") if c in df.columns]
+def _carried(df: DataFrame) -> list[Column]:
+    """Columns a task needs, renamed to themselves so that both sides of a group differ."""
+    return [F.col(c).alias(c) for c in ("vid", "x", "weight", "cluster") if c in df.columns]
 
 
 def _within(a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:

@@ -182,11 +182,25 @@ def check_rows(df: DataFrame, table: str, rules: list[Rule], key: str) -> DataFr
         F.when(r.violated(), F.struct(F.lit(r.name).alias("rule"), F.col(r.column).cast("string").alias("value")))
         for r in rules
     ]
-    some = reduce(lambda a, b: a | b, [r.violated() for r in rules])
-    hits = df.where(some).select(F.col(key).cast("string").alias("row_key"), F.inline(F.array(*broken)))
+    if not rules:
+        return df.sparkSession.createDataFrame([], ", ".join(f"{c} string" for c in VIOLATION_COLUMNS))
+    hits = _with_broken_rules(df, rules).where("broken_rules <> ''").select(
+        F.col(key).cast("string").alias("row_key"), F.inline(F.array(*broken))
+    )
     return hits.where("rule IS NOT NULL").select(F.lit(table).alias("table_name"), "rule", "row_key", "value")
 
 
+def _with_broken_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Add the names of the broken rules, empty for a good row.
+
+    The names go through a generator. A plain filter on them would be pushed
+    below the projections that compute the checked columns, and would compute
+    each of those again for every rule that mentions it.
+    """
+    names = F.concat_ws(",", *[F.when(r.violated(), F.lit(r.name)) for r in rules])
+    return df.select(*df.columns, F.explode(F.array(names)).alias("broken_rules"))
+
+
 def check_kind(df: DataFrame, table: str, kind: str, key: str) -> DataFrame:
     """Violations of the declared rules of one kind."""
     rules = [r for r in ROW_RULES[table] if r.kind == kind and r.column in df.columns]
@@ -234,16 +248,9 @@ def check_foreign_keys(tables: dict[str, DataFrame], keys: dict[str, str]) -> Da
 
 
 def quarantine_split(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
-    """Rows that pass every rule, and the others with the rules they break.
-
-    The names of the broken rules go through a generator before they are
-    filtered on. A plain filter would be pushed below the projections that
-    compute the checked columns, and would compute each of them again for every
-    rule that mentions it.
-    """
+    """Rows that pass every rule, and the others with the rules they break."""
     rules = [r for r in rules if r.column in df.columns and (not r.other or r.other in df.columns)]
-    reasons = F.concat_ws(",", *[F.when(r.violated(), F.lit(r.name)) for r in rules])
-    checked = df.select(*df.columns, F.explode(F.array(reasons)).alias("broken_rules"))
+    checked = _with_broken_rules(df, rules)
     return checked.where("broken_rules = ''").drop("broken_rules"), checked.where("broken_rules <> ''")
 
 

@@ -44,7 +44,9 @@ def run_segmentation(
         scores, k = search.scores, search.best_k
     else:
         scores = spark.createDataFrame([], "k int, inertia double, silhouette double")
-    kmeans = cl.fit_kmeans(cl.assemble(scaled, z), k, restarts)
+    points = cl.weighted_points(scaled, z)
+    kmeans = cl.fit_kmeans(points, k, restarts)
+    points.unpersist()
     projection = cl.fit_pca(scaled, z)
     assigned = kmeans.transform(cl.assemble(scaled, z)).select(vector_to_array(cl.VECTOR).alias("x"), "cluster")
     quality = {
