@@ -20,6 +20,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def read_spread(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table spread over all cores: the test files hold a single row group, which one task would read."""
+    df, cores = read(spark, sf_dir, table), spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def text(c: Column) -> Column:
     return c.cast("string")
 
@@ -32,7 +38,7 @@ def _state(nation: Column) -> Column:
     return F.lower(F.element_at(F.array(*[F.lit(s) for s in UF]), nation.cast("int") + 1))
 
 
-def stg_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stg_customers(spark: SparkSession, sf_dir: str, read=read) -> DataFrame:
     key = F.col("c_custkey")
     return read(spark, sf_dir, "customer").select(
         text(key).alias("customer_id"),
@@ -43,7 +49,7 @@ def stg_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stg_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stg_sellers(spark: SparkSession, sf_dir: str, read=read) -> DataFrame:
     key = F.col("s_suppkey")
     return read(spark, sf_dir, "supplier").select(
         text(key).alias("seller_id"),
@@ -53,7 +59,7 @@ def stg_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stg_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stg_products(spark: SparkSession, sf_dir: str, read=read) -> DataFrame:
     key = F.col("p_partkey")
     return read(spark, sf_dir, "part").select(
         text(key).alias("product_id"),
@@ -68,7 +74,7 @@ def stg_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stg_product_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stg_product_categories(spark: SparkSession, sf_dir: str, read=read) -> DataFrame:
     """Translations of the categories that have one; the others use the fallback."""
     name = F.lower("p_type")
     english = (
@@ -88,7 +94,7 @@ def _later(c: Column, hours: Column) -> Column:
     return c + F.make_dt_interval(F.lit(0), hours.cast("int"))
 
 
-def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stg_orders(spark: SparkSession, sf_dir: str, read=read) -> DataFrame:
     k, t, status = F.col("o_orderkey"), F.col("o_orderdate"), F.col("o_orderstatus")
     nan, blank = F.lit("NaN"), F.lit("")
     delivered = F.when((status != "P") & (_mod(k, 23) != 0), _time_text(_later(t, 24 * (2 + _mod(k, 27)) + _mod(k, 24))))
@@ -104,7 +110,7 @@ def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stg_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stg_order_items(spark: SparkSession, sf_dir: str, read=read) -> DataFrame:
     price = F.col("l_extendedprice").cast("decimal(10,2)")
     return read(spark, sf_dir, "lineitem").select(
         text(F.col("l_orderkey")).alias("order_id"),
@@ -117,7 +123,7 @@ def stg_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stg_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stg_payments(spark: SparkSession, sf_dir: str, read=read) -> DataFrame:
     """Every order is paid once; orders of medium priority pay a second, smaller voucher."""
     priority = F.substring("o_orderpriority", 1, 1)
     kind = (
@@ -141,7 +147,7 @@ def stg_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stg_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stg_reviews(spark: SparkSession, sf_dir: str, read=read) -> DataFrame:
     """Orders that left processing are reviewed; urgent orders carry a further review.
 
     Some review ids repeat, as neighbouring keys share one.

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from conformance.fixtures import staging
 from conformance.registry import query
 from conformance.star import star
 from tradewind.plans import dimensions, facts, marts, warehouse
@@ -21,17 +20,17 @@ def monthly_sales(spark, sf_dir):
 
 @query("dim_date", "SELECT * REPLACE (CAST(full_date AS VARCHAR) AS full_date) FROM dim_date")
 def dim_date(spark, sf_dir):
-    return dimensions.build_dim_date(staging(spark, sf_dir))
+    return dimensions.build_dim_date(star(spark, sf_dir))
 
 
 @query("dim_customer", "SELECT *, TRUE AS is_active FROM dim_customer")
 def dim_customer(spark, sf_dir):
-    return warehouse.build_table("dim_customer", staging(spark, sf_dir))
+    return warehouse.build_table("dim_customer", star(spark, sf_dir))
 
 
 @query("dim_seller", "SELECT *, TRUE AS is_active FROM dim_seller")
 def dim_seller(spark, sf_dir):
-    return warehouse.build_table("dim_seller", staging(spark, sf_dir))
+    return warehouse.build_table("dim_seller", star(spark, sf_dir))
 
 
 _SIZES = ["product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm", "product_volume_cm3"]
@@ -40,7 +39,7 @@ _SIZES = ["product_weight_g", "product_length_cm", "product_height_cm", "product
 @query("dim_product", f"""SELECT * REPLACE ({', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _SIZES)}),
     '2999-12-31 00:00:00' AS effective_end_date, TRUE AS is_current FROM dim_product""")
 def dim_product(spark, sf_dir):
-    return warehouse.build_table("dim_product", staging(spark, sf_dir))
+    return warehouse.build_table("dim_product", star(spark, sf_dir))
 
 
 _TIMES = """CAST(purchased AS VARCHAR) AS order_purchase_timestamp, CAST(approved AS VARCHAR) AS order_approved_at,
@@ -52,7 +51,7 @@ _TIMES = """CAST(purchased AS VARCHAR) AS order_purchase_timestamp, CAST(approve
     delivery_delay_days, total_delivery_days, is_delivered_on_time, delivery_performance_category, record_hash
     FROM dim_order_status""")
 def dim_order_status(spark, sf_dir):
-    return warehouse.build_table("dim_order_status", staging(spark, sf_dir))
+    return warehouse.build_table("dim_order_status", star(spark, sf_dir))
 
 
 _KNOWN = "delivered IS NOT NULL AND estimated IS NOT NULL"
@@ -69,7 +68,7 @@ _KNOWN = "delivered IS NOT NULL AND estimated IS NOT NULL"
                  COALESCE(CAST(CAST(delivered AS DATE) - CAST(purchased AS DATE) AS INTEGER), 0) AS total_delivery_days
           FROM order_times)""")
 def dim_order_status_raw(spark, sf_dir):
-    return dimensions.build_dim_order_status(staging(spark, sf_dir)["stg_orders"], impute=False)
+    return dimensions.build_dim_order_status(star(spark, sf_dir)["stg_orders"], impute=False)
 
 
 @query("fact_order_items", """SELECT * REPLACE (CAST(item_price AS DOUBLE) AS item_price, CAST(freight_value AS DOUBLE) AS freight_value,

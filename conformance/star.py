@@ -1,4 +1,4 @@
-"""The star schema of a test folder, built once per session and read by the report queries."""
+"""Staging and star schema of a test folder, written once per session and read by the other queries."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from conformance.fixtures import staging
+from conformance.fixtures import STAGING, read_spread
+from tradewind.plans.dimensions import with_hash
 from tradewind.plans.warehouse import STEPS, build_table
 from tradewind.session import shared_folder
 from tradewind.sources.sinks import folder_sink
@@ -17,16 +18,18 @@ class Star:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.staging = staging(spark, sf_dir)
+        self.sf_dir = sf_dir
         self.tables: dict[str, DataFrame] = {}
         self.sink = folder_sink(f"{shared_folder(spark)}/star-{uuid.uuid4().hex}")
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name.startswith("stg_"):
-            return self.staging[name]
         if name not in self.tables:
-            layer = next(layer for layer, names in STEPS.items() if name in names)
-            self.tables[name], _ = self.sink(layer, name, build_table(name, self))
+            if name in STAGING:
+                layer, rows = "staging", with_hash(STAGING[name](self.spark, self.sf_dir, read_spread))
+            else:
+                layer = next(layer for layer, names in STEPS.items() if name in names)
+                rows = build_table(name, self)
+            self.tables[name], _ = self.sink(layer, name, rows)
         return self.tables[name]
 
 
