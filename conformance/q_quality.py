@@ -242,10 +242,10 @@ def sequence_unique_pair(spark, sf_dir):
     return profiling.sequence_duplicates(_items(spark, sf_dir))
 
 
-@query("sequence_examples", f"""SELECT order_id, actual, (SELECT string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) FROM range(1, n + 1) t(i)) AS expected
-    FROM {_SEQUENCES} WHERE {_GAP} ORDER BY order_id LIMIT 3""")
+@query("sequence_examples", f"""SELECT order_id, order_item_id AS actual, CAST(row_number() OVER (PARTITION BY order_id ORDER BY order_item_id) AS INTEGER) AS expected
+    FROM stg_order_items WHERE order_id IN (SELECT order_id FROM {_SEQUENCES} WHERE {_GAP} ORDER BY order_id LIMIT 3)""")
 def sequence_examples(spark, sf_dir):
-    return profiling.sequence_examples(_items(spark, sf_dir), 3)
+    return profiling.sequence_examples(_items(spark, sf_dir), ["product_id"], 3)
 
 
 @query("sequence_compliance", f"""

@@ -118,3 +118,9 @@ def test_pca_matches_numpy(spark):
         v = v * np.sign(v[np.argmax(np.abs(v))])
         assert np.allclose(found.loadings[i], v, atol=1e-8)
         assert found.explained[i] == pytest.approx(values[-1 - i] / values.sum())
+
+
+def test_dbscan_on_one_feature_without_any_cluster(spark):
+    df = spark.createDataFrame([(i, float(10 * i)) for i in range(6)], "id long, a double")
+    got = dbscan(df, "id", ["a"], 1.0, 2).toPandas()
+    assert got["dbscan_cluster"].tolist() == [-1] * 6 and not got["is_core"].any()

@@ -208,8 +208,10 @@ def silhouette_euclidean(df: DataFrame, key: str, features: str, label: str, blo
     blocks = max(1, math.ceil(rows.count() / block_rows))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = rows.withColumn("i", F.col("block")).withColumn("j", every)
-    right = rows.withColumn("j", F.col("block")).withColumn("i", every)
+    # Columns are renamed to themselves on either side, so that the sides of a group differ.
+    carried = lambda: [F.col(c).alias(c) for c in ("id", "label", "x")]
+    left = rows.select(F.col("block").alias("i"), every.alias("j"), *carried())
+    right = rows.select(every.alias("i"), F.col("block").alias("j"), *carried())
     sums = (
         left.groupBy("i", "j").cogroup(right.groupBy("i", "j"))
         .applyInPandas(_distance_sums, "id long, own long, label long, total double")

@@ -81,14 +81,16 @@ def _points(df: DataFrame, key: str, columns: list[str], eps: float, block_point
     points = df.groupBy(vector.alias("x")).agg(F.min(key).alias("vid"), F.count(F.lit(1)).alias("weight"))
     ranges = df.agg(*[(F.max(c) - F.min(c)).cast("double").alias(c) for c in columns]).first()
     widest = sorted(range(len(columns)), key=lambda i: -(ranges[columns[i]] or 0.0))[:GRID_FEATURES]
-    cell = F.array(*[F.floor(F.col("x")[i] / F.lit(eps)).cast("long") for i in widest])
+    # Always three numbers, so that every cell has 27 neighbours; an unused one is 0.
+    places = [F.floor(F.col("x")[i] / F.lit(eps)).cast("long") for i in widest]
+    cell = F.array(*places, *[F.lit(0).cast("long")] * (GRID_FEATURES - len(places)))
     points = materialize(points.withColumn("cell", cell), "points")
     sizes = points.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_points).cast("int").alias("blocks"))
     return points.join(sizes, "cell").withColumn("block", F.pmod(F.xxhash64("vid"), F.col("blocks")).cast("int"))
 
 
-def _neighbouring(cell: Column, dimensions: int) -> Column:
-    offsets = [F.array(*[F.lit(o) for o in shift]) for shift in product((-1, 0, 1), repeat=dimensions)]
+def _neighbouring(cell: Column) -> Column:
+    offsets = [F.array(*[F.lit(o) for o in shift]) for shift in product((-1, 0, 1), repeat=GRID_FEATURES)]
     return F.array(*[F.zip_with(cell, shift, lambda a, b: a + b) for shift in offsets])
 
 
@@ -99,10 +101,9 @@ def _paired(left: DataFrame, right: DataFrame, everyone: DataFrame):
     its sides have a bounded number of points.
     """
     cells = everyone.groupBy("cell").agg(F.max("blocks").alias("blocks"))
-    dimensions = len(cells.first()["cell"])
     around = cells.select(
         F.col("cell").alias("home"), F.col("blocks").alias("home_blocks"),
-        F.explode(_neighbouring(F.col("cell"), dimensions)).alias("cell"),
+        F.explode(_neighbouring(F.col("cell"))).alias("cell"),
     ).join(cells, "cell")
     # Cells are few compared with points: one row per non-empty cell and neighbour.
     reach = around.groupBy("home").agg(F.max("blocks").alias("reach")).withColumnRenamed("home", "cell")

@@ -142,14 +142,16 @@ def sequence_duplicates(items: DataFrame) -> DataFrame:
     return items.groupBy("order_id", "order_item_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def sequence_examples(items: DataFrame, k: int = 3) -> DataFrame:
-    """The first k broken orders with their sorted and the expected positions."""
-    chosen = sequence_gaps(items).orderBy("order_id").limit(k)
-    positions = items.join(F.broadcast(chosen), "order_id").groupBy("order_id", "n_items").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list("order_item_id")), lambda x: x.cast("string")), ",").alias("actual")
+def sequence_examples(items: DataFrame, ties: list[str], k: int = 3) -> DataFrame:
+    """The first k broken orders: the actual and the expected position of each of their items.
+
+    One row per item in sorted order, so that a very long order is not gathered.
+    """
+    chosen = sequence_gaps(items).orderBy("order_id").limit(k).select("order_id")
+    positions = items.select("order_id", "order_item_id", *ties).join(F.broadcast(chosen), "order_id", "left_semi")
+    return resequence_items(positions, ties).select(
+        "order_id", F.col("order_item_id").alias("actual"), F.col("corrected_item_id").alias("expected")
     )
-    expected = F.array_join(F.transform(F.sequence(F.lit(1), F.col("n_items").cast("int")), lambda x: x.cast("string")), ",")
-    return positions.select("order_id", "actual", expected.alias("expected"))
 
 
 def sequence_compliance(items: DataFrame) -> DataFrame:
