@@ -219,7 +219,7 @@ def referential_report(spark, sf_dir):
 
 
 def _items(spark, sf_dir):
-    return staging(spark, sf_dir)["stg_order_items"]
+    return star(spark, sf_dir)["stg_order_items"].drop("record_hash")
 
 
 _SEQUENCES = """(SELECT order_id, count(*) AS n, min(order_item_id) AS lo, max(order_item_id) AS hi, count(DISTINCT order_item_id) AS d,
