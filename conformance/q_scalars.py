@@ -327,7 +327,7 @@ def scd2_columns(spark, sf_dir):
     return staging(spark, sf_dir)["stg_products"].select("product_id").withColumns(dimensions.version_columns())
 
 
-@query("audit_columns")
+@query("audit_columns", "SELECT seller_id, TRUE AS is_active, TRUE AS in_order FROM stg_sellers")
 def audit_columns(spark, sf_dir):
     rows = staging(spark, sf_dir)["stg_sellers"].withColumns({**dimensions.audit("created_date", "updated_date"), "is_active": F.lit(True)})
     return rows.select("seller_id", "is_active", (F.col("created_date") <= F.col("updated_date")).alias("in_order"))

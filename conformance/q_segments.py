@@ -343,6 +343,13 @@ def model_save(spark, sf_dir):
     return models.model_load(spark, path).metadata
 
 
+@query("model_load", "SELECT CAST(4 AS BIGINT) AS n_clusters, count(*) AS n_samples FROM rfm_features")
+def model_load(spark, sf_dir):
+    path = folder(spark, "model")
+    models.model_save(_run(spark, sf_dir).model, path)
+    return models.model_load(spark, path).metadata.select("n_clusters", "n_samples")
+
+
 @query("predict_segment")
 def predict_segment(spark, sf_dir):
     """New rows scored by the loaded model get the cluster the fitted one gave them."""
