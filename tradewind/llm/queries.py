@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm.decontamination import contaminated
+from tradewind.llm.fingerprints import fingerprinted
+from tradewind.llm.fm_index import without_earlier_passages
 from tradewind.llm.languages import predicted
+from tradewind.llm.licenses import scanned
 from tradewind.llm.near_duplicates import near_duplicate_groups
 from tradewind.llm.packing import packed
 from tradewind.llm.pseudonyms import pseudonyms
+from tradewind.llm.suffix_repeats import without_repeats
+from tradewind.llm.urls import judged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 EXPECTED: dict[str, str] = {}
@@ -26,17 +31,37 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprinted(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", pseudonyms(F.col("text"), "corpus").alias("p")).select("doc_id", "p.*")
 
 
+@query
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_earlier_passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
@@ -50,3 +75,8 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scanned(table(spark, sf_dir, "documents"))
