@@ -275,7 +275,7 @@ CTES: dict[str, str] = {
         SELECT row_number() OVER (ORDER BY review_id) AS review_sk, *
         FROM review_measured WHERE review_score BETWEEN 1 AND 5 AND response_time_hours >= 0""",
     "agg_monthly_sales": """
-        SELECT d.year * 100 + d.month AS year_month, d.year, d.month, d.month_name,
+        SELECT CAST(d.year * 100 + d.month AS BIGINT) AS sales_agg_sk, d.year * 100 + d.month AS year_month, d.year, d.month, d.month_name,
                count(DISTINCT f.order_id) AS total_orders, count(f.order_item_sk) AS total_items,
                sum(f.item_price) AS total_revenue, sum(f.freight_value) AS total_freight,
                CAST(sum(f.total_item_value) AS DOUBLE) / count(*) AS avg_order_value,
@@ -295,7 +295,7 @@ CTES: dict[str, str] = {
         LEFT JOIN fact_reviews r ON f.order_id = r.order_id
         GROUP BY p.product_sk""",
     "agg_product_performance": """
-        SELECT * REPLACE (CASE WHEN avg_review_score > 0 THEN avg_review_score END AS avg_review_score),
+        SELECT product_sk AS product_perf_sk, * REPLACE (CASE WHEN avg_review_score > 0 THEN avg_review_score END AS avg_review_score),
                row_number() OVER (ORDER BY last_12_months_revenue DESC, product_sk) AS revenue_rank,
                row_number() OVER (ORDER BY last_12_months_items DESC, product_sk) AS volume_rank
         FROM product_fanout""",

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conformance.ctes import stamp
+from conformance.ctes import stamp, trunc_hours
 from conformance.fixtures import staging
 from conformance.registry import query
 from conformance.star import star
@@ -122,11 +122,15 @@ def check_row_order(spark, sf_dir):
 
 
 _FKS = [(f"fk_{a}_{b}", a, b, c, d) for a, b, c, d in quality.FOREIGN_KEYS]
-_FK_VALUES = ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in _FKS)
 
 
-@query("constraint_registry", f"""SELECT r.*, n.orphans FROM (VALUES {_FK_VALUES}) r(constraint_name, table_name, column_name, references_table, references_column),
-    (SELECT CAST(0 AS BIGINT) AS orphans FROM orders HAVING count(*) > 0) n""")
+_ORPHANS = " UNION ALL ".join(
+    f"""SELECT '{name}' AS constraint_name, '{child}' AS table_name, '{column}' AS column_name, '{parent}' AS references_table, '{key}' AS references_column,
+        (SELECT count(*) FROM {child} x WHERE x.{column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} y WHERE y.{key} = x.{column})) AS orphans"""
+    for name, child, column, parent, key in _FKS)
+
+
+@query("constraint_registry", _ORPHANS)
 def constraint_registry(spark, sf_dir):
     """Every declared reference with its number of orphans in the loaded tables."""
     s = star(spark, sf_dir)
@@ -149,15 +153,71 @@ def quarantine_split(spark, sf_dir):
     )
 
 
+_UNRESOLVED = "CASE WHEN {0} IS NULL THEN 'not_null:{0}' END"
+
+
+@query("rejected_rows", f"""
+    SELECT 'dim_customer' AS table_name, customer_id AS row_key, 'length:customer_state' AS broken_rules FROM customer_rows WHERE length(customer_state) <> 2
+    UNION ALL SELECT 'dim_seller', seller_id, 'length:seller_state' FROM seller_rows WHERE length(seller_state) <> 2
+    UNION ALL SELECT * FROM (SELECT 'dim_order_status', order_id, concat_ws(',',
+            CASE WHEN purchased IS NULL THEN 'not_null:order_purchase_timestamp' END,
+            CASE WHEN approval_delay_hours < 0 THEN 'range:approval_delay_hours' END, CASE WHEN total_delivery_days < 0 THEN 'range:total_delivery_days' END,
+            CASE WHEN purchased > approved THEN 'row_order:order_purchase_timestamp<=order_approved_at' END,
+            CASE WHEN purchased > estimated THEN 'row_order:order_purchase_timestamp<=order_estimated_delivery_date' END) AS broken
+        FROM order_measured) WHERE broken <> ''
+    UNION ALL SELECT * FROM (SELECT 'fact_order_items', i.order_id || '/' || order_item_id || '/' || i.product_id,
+            concat_ws(',', {', '.join(_UNRESOLVED.format(k) for k in ('customer_sk', 'product_sk', 'seller_sk', 'order_status_sk'))}) AS broken
+        FROM stg_order_items i LEFT JOIN stg_orders o ON i.order_id = o.order_id LEFT JOIN dim_customer c ON o.customer_id = c.customer_id
+        LEFT JOIN dim_product p ON i.product_id = p.product_id LEFT JOIN dim_seller e ON i.seller_id = e.seller_id
+        LEFT JOIN dim_order_status s ON i.order_id = s.order_id) WHERE broken <> ''
+    UNION ALL SELECT 'fact_payments', order_id || '/' || payment_sequential, 'not_null:order_status_sk' FROM stg_payments
+        WHERE order_id NOT IN (SELECT order_id FROM dim_order_status)
+    UNION ALL SELECT * FROM (SELECT 'fact_reviews', review_id || '/' || order_id, concat_ws(',', {_UNRESOLVED.format('customer_sk')}, {_UNRESOLVED.format('order_status_sk')},
+            CASE WHEN COALESCE(review_score, 0) NOT BETWEEN 1 AND 5 THEN 'range:review_score' END,
+            CASE WHEN {trunc_hours('answered', 'created')} < 0 THEN 'range:response_time_hours' END,
+            CASE WHEN complete AND row_number() OVER (PARTITION BY review_id, complete ORDER BY created DESC NULLS LAST, order_id) > 1 THEN 'unique:review_id' END) AS broken
+        FROM (SELECT r.*, c.customer_sk, s.order_status_sk, c.customer_sk IS NOT NULL AND s.order_status_sk IS NOT NULL AS complete,
+                     {stamp('r.review_creation_date')} AS created, {stamp('r.review_answer_timestamp')} AS answered
+              FROM stg_reviews r LEFT JOIN stg_orders o ON r.order_id = o.order_id LEFT JOIN dim_customer c ON o.customer_id = c.customer_id
+              LEFT JOIN dim_order_status s ON r.order_id = s.order_id)) WHERE broken <> ''""")
+def rejected_rows(spark, sf_dir):
+    """Every row that is not loaded, with the rules it breaks."""
+    s = star(spark, sf_dir)
+    keys = {
+        "dim_customer": ["customer_id"], "dim_product": ["product_id"], "dim_seller": ["seller_id"], "dim_order_status": ["order_id"],
+        "fact_order_items": ["order_id", "order_item_id", "product_id"], "fact_payments": ["order_id", "payment_sequential"],
+        "fact_reviews": ["review_id", "order_id"],
+    }
+    parts = [
+        warehouse.rejected_rows(t, s).select(F.lit(t).alias("table_name"), F.concat_ws("/", *[F.col(k).cast("string") for k in key]).alias("row_key"), "broken_rules")
+        for t, key in keys.items()
+    ]
+    return _union(parts)
+
+
 # Profiling
 
 _COLUMNS = {
     "stg_customers": ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"],
+    "stg_products": ["product_id", "product_category_name", "product_name_lenght", "product_description_lenght", "product_photos_qty",
+                     "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"],
+    "stg_sellers": ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"],
+    "stg_orders": ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
+                   "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date"],
+    "stg_order_items": ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"],
     "stg_payments": ["order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"],
     "stg_reviews": ["review_id", "order_id", "review_score", "review_comment_title", "review_comment_message",
                     "review_creation_date", "review_answer_timestamp"],
+    "stg_product_categories": ["product_category_name", "product_category_name_english"],
 }
-_NUMERIC = {"stg_customers": 0, "stg_payments": 3, "stg_reviews": 1}
+_NUMERIC = {"stg_order_items": 3, "stg_payments": 3, "stg_reviews": 1}
+_IDS = {t: [c for c in cols if "id" in c] for t, cols in _COLUMNS.items() if any("id" in c for c in cols)}
+_DATES = {t: [c for c in cols if "date" in c or "time" in c] for t, cols in _COLUMNS.items() if any("date" in c or "time" in c for c in cols)}
+
+
+def _tables(spark, sf_dir, names=_COLUMNS):
+    tables = staging(spark, sf_dir)
+    return {t: tables[t] for t in names}
 
 
 def _nulls(table):
@@ -165,34 +225,32 @@ def _nulls(table):
 
 
 @query("profile_structure", " UNION ALL ".join(
-    f"""SELECT '{t}' AS table_name, count(*) AS n_rows, {len(cols)} AS n_columns, {_NUMERIC[t]} AS numeric_columns,
-        {len(cols) - _NUMERIC[t]} AS text_columns, CAST({_nulls(t)} AS BIGINT) AS missing_values FROM {t}""" for t, cols in _COLUMNS.items()))
+    f"""SELECT '{t}' AS table_name, count(*) AS n_rows, {len(cols)} AS n_columns, {_NUMERIC.get(t, 0)} AS numeric_columns,
+        {len(cols) - _NUMERIC.get(t, 0)} AS text_columns, CAST({_nulls(t)} AS BIGINT) AS missing_values FROM {t}""" for t, cols in _COLUMNS.items()))
 def profile_structure(spark, sf_dir):
-    tables = staging(spark, sf_dir)
-    return profiling.profile_structure({t: tables[t] for t in _COLUMNS})
+    return profiling.profile_structure(_tables(spark, sf_dir))
 
 
 @query("missing_report", "SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS missing, CAST(count(*) FILTER ({c} IS NULL) AS DOUBLE) / count(*) * 100 AS missing_pct FROM stg_reviews"
-    for c in _COLUMNS["stg_reviews"]) + ") WHERE missing > 0")
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS missing, CAST(count(*) FILTER ({c} IS NULL) AS DOUBLE) / count(*) * 100 AS missing_pct FROM {t}"
+    for t, cols in _COLUMNS.items() for c in cols) + ") WHERE missing > 0")
 def missing_report(spark, sf_dir):
-    return profiling.missing_report(staging(spark, sf_dir)["stg_reviews"])
+    return profiling.per_table(profiling.missing_report, _tables(spark, sf_dir))
 
 
 @query("key_uniqueness", " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_values, count(*) AS n_rows, CAST(count(DISTINCT {c}) AS DOUBLE) / count(*) AS uniqueness FROM stg_order_items"
-    for c in ("order_id", "order_item_id", "product_id", "seller_id")))
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(DISTINCT {c}) AS distinct_values, count(*) AS n_rows, CAST(count(DISTINCT {c}) AS DOUBLE) / count(*) AS uniqueness FROM {t}"
+    for t, cols in _IDS.items() for c in cols))
 def key_uniqueness(spark, sf_dir):
-    items = staging(spark, sf_dir)["stg_order_items"]
-    return profiling.key_uniqueness(items, ["order_id", "order_item_id", "product_id", "seller_id"])
+    return profiling.per_table(profiling.key_uniqueness, _tables(spark, sf_dir, _IDS))
 
 
 @query("date_range_report", " UNION ALL ".join(
-    f"""SELECT '{c}' AS column_name, CAST(min(TRY_CAST({c} AS TIMESTAMP)) AS VARCHAR) AS first_time, CAST(max(TRY_CAST({c} AS TIMESTAMP)) AS VARCHAR) AS last_time,
-        count(*) FILTER ({c} IS NOT NULL AND TRY_CAST({c} AS TIMESTAMP) IS NULL) > 0 AS conversion_failed FROM stg_orders"""
-    for c in ("order_purchase_timestamp", "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date")))
+    f"""SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(min(TRY_CAST({c} AS TIMESTAMP)) AS VARCHAR) AS first_time, CAST(max(TRY_CAST({c} AS TIMESTAMP)) AS VARCHAR) AS last_time,
+        count(*) FILTER ({c} IS NOT NULL AND TRY_CAST({c} AS TIMESTAMP) IS NULL) > 0 AS conversion_failed FROM {t}"""
+    for t, cols in _DATES.items() for c in cols))
 def date_range_report(spark, sf_dir):
-    return profiling.date_range_report(staging(spark, sf_dir)["stg_orders"])
+    return profiling.per_table(profiling.date_range_report, _tables(spark, sf_dir, _DATES))
 
 
 def _references(spark, sf_dir):
@@ -285,9 +343,9 @@ def timestamp_progression(spark, sf_dir):
 
 @query("threshold_gate", f"""
     SELECT 'max_missing_percentage' AS gate, m AS measured, 10.0::DOUBLE AS allowed, m <= 10 AS passed
-    FROM (SELECT greatest({', '.join(f'CAST(count(*) FILTER ({c} IS NULL) AS DOUBLE) / count(*) * 100' for c in _COLUMNS['stg_customers'])}) AS m FROM stg_customers)
+    FROM (SELECT max(share) AS m FROM ({' UNION ALL '.join(f'SELECT CAST(count(*) FILTER ({c} IS NULL) AS DOUBLE) / count(*) * 100 AS share FROM {t}' for t, cols in _COLUMNS.items() for c in cols)}))
     UNION ALL SELECT 'validate_order_sequence', CAST(count(*) AS DOUBLE), 0.0, count(*) = 0 FROM {_SEQUENCES} WHERE {_GAP}
     UNION ALL SELECT 'enforce_referential_integrity', CAST(sum(orphaned_keys) AS DOUBLE), 0.0, sum(orphaned_keys) = 0 FROM ({_REFERENCES})""")
 def threshold_gate(spark, sf_dir):
-    tables = staging(spark, sf_dir)
-    return profiling.threshold_gate({"stg_customers": tables["stg_customers"]}, tables["stg_order_items"], _references(spark, sf_dir))
+    tables = _tables(spark, sf_dir)
+    return profiling.threshold_gate(tables, tables["stg_order_items"], _references(spark, sf_dir))

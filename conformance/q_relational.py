@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from conformance.ctes import stamp
-from conformance.fixtures import read, staging
+from conformance.fixtures import STAGING, read, staging
 from conformance.registry import query
 from conformance.star import star
 from tradewind.functions import text
-from tradewind.operators import quality, relational, reports, rfm, segments, versions
+from tradewind.operators import profiling, quality, relational, reports, rfm, segments, versions
 from tradewind.plans import dimensions, facts, marts
 from tradewind.sources.schemas import DIMENSIONS
 
@@ -219,7 +219,7 @@ def join_preaggregate(spark, sf_dir):
     return s["dim_customer"].select("customer_sk").join(rfm.customer_review_stats(s["fact_reviews"]), "customer_sk", "left")
 
 
-@query("mart_dim_inner_join", """SELECT m.* REPLACE (CAST(last_12_months_revenue AS DOUBLE) AS last_12_months_revenue),
+@query("mart_dim_inner_join", """SELECT m.* EXCLUDE (product_perf_sk) REPLACE (CAST(last_12_months_revenue AS DOUBLE) AS last_12_months_revenue),
     p.product_id, p.product_category_name, p.product_category_english FROM agg_product_performance m JOIN dim_product p USING (product_sk)""")
 def mart_dim_inner_join(spark, sf_dir):
     s = star(spark, sf_dir)
@@ -306,10 +306,14 @@ def drop_duplicates_subset(spark, sf_dir):
     return relational.first_per_key(lines, ["l_orderkey", "l_linenumber"], [F.col("l_partkey"), F.col("l_suppkey")])
 
 
-@query("duplicate_row_count", "SELECT CAST(COALESCE(sum(n - 1), 0) AS BIGINT) AS duplicate_rows FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber, l_returnflag)")
+@query("duplicate_row_count", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {t})) AS duplicate_rows"
+    for t in STAGING) + " UNION ALL SELECT 'item keys', CAST(COALESCE(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM stg_order_items GROUP BY order_id, order_item_id)")
 def duplicate_row_count(spark, sf_dir):
-    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
-    return relational.duplicate_row_count(lines)
+    """Whole rows of every staging table, and the declared key of the items, which does repeat."""
+    tables = staging(spark, sf_dir)
+    counted = {t: tables[t] for t in STAGING} | {"item keys": tables["stg_order_items"].select("order_id", "order_item_id")}
+    return profiling.per_table(relational.duplicate_row_count, counted)
 
 
 @query("key_set_difference", "SELECT order_id FROM stg_orders EXCEPT SELECT order_id FROM stg_order_items")

@@ -199,7 +199,7 @@ def item_position_range(spark, sf_dir):
     return reports.item_position_range(staging(spark, sf_dir)["stg_order_items"])
 
 
-@query("item_position_distribution", "SELECT order_item_id, count(*) AS n FROM stg_order_items GROUP BY 1 ORDER BY 1 LIMIT 10")
+@query("item_position_distribution", "SELECT order_item_id, count(*) AS n FROM stg_order_items GROUP BY 1")
 def item_position_distribution(spark, sf_dir):
     return reports.item_position_distribution(staging(spark, sf_dir)["stg_order_items"])
 
@@ -449,38 +449,30 @@ def sample_rows(spark, sf_dir):
 # The whole load
 
 
-@query("warehouse_run", """
-    SELECT layer, table_name, rows FROM (
-    SELECT 'staging' AS layer, 'stg_customers' AS table_name, count(*) AS rows FROM stg_customers
-    UNION ALL SELECT 'staging', 'stg_products', count(*) FROM stg_products
-    UNION ALL SELECT 'staging', 'stg_sellers', count(*) FROM stg_sellers
-    UNION ALL SELECT 'staging', 'stg_orders', count(*) FROM stg_orders
-    UNION ALL SELECT 'staging', 'stg_order_items', count(*) FROM stg_order_items
-    UNION ALL SELECT 'staging', 'stg_payments', count(*) FROM stg_payments
-    UNION ALL SELECT 'staging', 'stg_reviews', count(*) FROM stg_reviews
-    UNION ALL SELECT 'staging', 'stg_product_categories', count(*) FROM stg_product_categories
-    UNION ALL SELECT 'dimensions', 'dim_date', count(*) FROM dim_date
-    UNION ALL SELECT 'dimensions', 'dim_customer', count(*) FROM dim_customer
-    UNION ALL SELECT 'dimensions', 'dim_product', count(*) FROM dim_product
-    UNION ALL SELECT 'dimensions', 'dim_seller', count(*) FROM dim_seller
-    UNION ALL SELECT 'dimensions', 'dim_order_status', count(*) FROM dim_order_status
-    UNION ALL SELECT 'facts', 'fact_order_items', count(*) FROM fact_order_items
-    UNION ALL SELECT 'facts', 'fact_payments', count(*) FROM fact_payments
-    UNION ALL SELECT 'facts', 'fact_reviews', count(*) FROM fact_reviews
-    UNION ALL SELECT 'marts', 'agg_monthly_sales', count(*) FROM agg_monthly_sales
-    UNION ALL SELECT 'marts', 'agg_product_performance', count(*) FROM agg_product_performance)""")
+_READ = {
+    "dim_customer": "stg_customers", "dim_product": "stg_products", "dim_seller": "stg_sellers", "dim_order_status": "stg_orders",
+    "fact_order_items": "stg_order_items", "fact_payments": "stg_payments", "fact_reviews": "stg_reviews",
+}
+_LAYER_TABLES = {
+    "staging": ["stg_customers", "stg_products", "stg_sellers", "stg_orders", "stg_order_items", "stg_payments", "stg_reviews",
+                "stg_product_categories"],
+    **warehouse.STEPS,
+}
+_LOADED = " UNION ALL ".join(
+    f"SELECT '{layer}' AS layer, '{t}' AS table_name, (SELECT count(*) FROM {t}) AS rows, "
+    + (f"(SELECT count(*) FROM {_READ[t]}) - (SELECT count(*) FROM {t})" if t in _READ else "CAST(0 AS BIGINT)") + " AS rejected"
+    for layer, names in _LAYER_TABLES.items() for t in names
+)
+
+
+@query("warehouse_run", _LOADED)
 def warehouse_run(spark, sf_dir):
-    return run_load(spark, sf_dir).select("layer", "table_name", "rows")
+    """Rows read are rows loaded and rows rejected, for every table."""
+    return run_load(spark, sf_dir).select("layer", "table_name", "rows", "rejected")
 
 
-@query("load_summary", """
-    SELECT 'staging' AS layer, CAST(8 AS BIGINT) AS n_tables, (SELECT count(*) FROM stg_customers) + (SELECT count(*) FROM stg_products)
-        + (SELECT count(*) FROM stg_sellers) + (SELECT count(*) FROM stg_orders) + (SELECT count(*) FROM stg_order_items)
-        + (SELECT count(*) FROM stg_payments) + (SELECT count(*) FROM stg_reviews) + (SELECT count(*) FROM stg_product_categories) AS total_rows
-    UNION ALL SELECT 'dimensions', 5, (SELECT count(*) FROM dim_date) + (SELECT count(*) FROM dim_customer)
-        + (SELECT count(*) FROM dim_product) + (SELECT count(*) FROM dim_seller) + (SELECT count(*) FROM dim_order_status)
-    UNION ALL SELECT 'facts', 3, (SELECT count(*) FROM fact_order_items) + (SELECT count(*) FROM fact_payments) + (SELECT count(*) FROM fact_reviews)
-    UNION ALL SELECT 'marts', 2, (SELECT count(*) FROM agg_monthly_sales) + (SELECT count(*) FROM agg_product_performance)""")
+@query("load_summary", f"""SELECT layer, count(*) AS n_tables, CAST(sum(rows) AS BIGINT) AS total_rows, CAST(sum(rejected) AS BIGINT) AS rejected_rows
+    FROM ({_LOADED}) GROUP BY layer""")
 def load_summary(spark, sf_dir):
     return warehouse.load_summary(run_load(spark, sf_dir))
 

@@ -263,30 +263,25 @@ def davies_bouldin(spark, sf_dir):
 
 
 def _silhouette_sql(distance: str) -> str:
-    return f"""SELECT round(avg(CASE WHEN n > 1 THEN (b - a) / greatest(a, b) ELSE 0 END), 6) AS silhouette FROM (
+    return f"""SELECT round(avg(CASE WHEN n > 1 THEN (b - a) / greatest(a, b) ELSE 0 END), 6) AS silhouette_squared FROM (
         SELECT vec_id, max(n) FILTER (own) AS n, max(total / (n - 1)) FILTER (own AND n > 1) AS a, min(total / n) FILTER (NOT own) AS b
         FROM (SELECT v.vec_id, w.label, v.label = w.label AS own, count(*) AS n, sum({distance}) AS total
               FROM vectors v, vectors w GROUP BY ALL) GROUP BY vec_id)"""
 
 
-@query("silhouette", _silhouette_sql("list_distance(v.x, w.x)"))
-def silhouette(spark, sf_dir):
-    return rounded(cl.silhouette_euclidean(vectors(spark, sf_dir), "vec_id", "x", "label"), "silhouette")
-
-
 @query("silhouette_squared", _silhouette_sql("list_distance(v.x, w.x) * list_distance(v.x, w.x)"))
 def silhouette_squared(spark, sf_dir):
-    return rounded(cl.silhouette_squared(vectors(spark, sf_dir), "x", "label"), "silhouette")
+    return rounded(cl.silhouette_squared(vectors(spark, sf_dir), "x", "label"), "silhouette_squared")
 
 
 @query("noise_report", f"""SELECT count(DISTINCT CASE WHEN label <> 0 THEN label END) AS n_clusters, count(*) FILTER (label = 0) AS n_noise,
     CAST(count(*) FILTER (label = 0) AS DOUBLE) / count(*) * 100 AS noise_pct,
-    (SELECT silhouette FROM ({_silhouette_sql('list_distance(v.x, w.x) * list_distance(v.x, w.x)').replace('FROM vectors v, vectors w', 'FROM (SELECT * FROM vectors WHERE label <> 0) v, (SELECT * FROM vectors WHERE label <> 0) w')})) AS silhouette
+    (SELECT silhouette_squared FROM ({_silhouette_sql('list_distance(v.x, w.x) * list_distance(v.x, w.x)').replace('FROM vectors v, vectors w', 'FROM (SELECT * FROM vectors WHERE label <> 0) v, (SELECT * FROM vectors WHERE label <> 0) w')})) AS silhouette_squared
     FROM vectors""")
 def noise_report(spark, sf_dir):
     """The first label plays the part of noise."""
     rows = vectors(spark, sf_dir).withColumn("label", F.when(F.col("label") == 0, -1).otherwise(F.col("label")))
-    return rounded(cl.noise_report(rows, "x", "label"), "silhouette")
+    return rounded(cl.noise_report(rows, "x", "label"), "silhouette_squared")
 
 
 @query("dbscan_core", """SELECT s.customer_sk, c.customer_sk IS NOT NULL AS is_core,

@@ -98,23 +98,6 @@ def _database(spark, layer: str) -> str:
     return name
 
 
-@query("layer_namespaces", "SELECT layer, count(*) AS n FROM (VALUES ('staging'), ('dimensions'), ('facts'), ('marts')) t(layer), (SELECT count(*) FROM region) GROUP BY layer")
-def layer_namespaces(spark, sf_dir):
-    """The four databases exist once and each holds what was loaded into it."""
-    prefix = f"t{uuid.uuid4().hex[:12]}_"
-    for layer in ("staging", "dimensions", "facts", "marts"):
-        spark.sql(f"CREATE DATABASE {prefix}{layer} LOCATION '{folder(spark, prefix + layer)}'")
-    names = sinks.layer_namespaces(spark, prefix)
-    region = read(spark, sf_dir, "region")
-    for name in names:
-        sinks.overwrite_staging(region, name, "probe")
-    layers = [spark.table(f"{n}.probe").select(F.lit(n.removeprefix(prefix)).alias("layer")).distinct() for n in names]
-    out = layers[0]
-    for df in layers[1:]:
-        out = out.unionByName(df)
-    return out.groupBy("layer").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("overwrite_staging", "SELECT * FROM stg_sellers")
 def overwrite_staging(spark, sf_dir):
     """The second write replaces rows and layout of the first."""
@@ -155,36 +138,3 @@ def mart_load(spark, sf_dir):
     for _ in range(2):
         sinks.mart_load(mart, database, "agg_monthly_sales")
     return spark.table(f"{database}.agg_monthly_sales").select("year_month", "total_orders")
-
-
-_CATALOG = ["stg_sellers", "stg_customers"]
-
-
-def _small_catalog(spark, sf_dir):
-    database = _database(spark, "staging")
-    for name in _CATALOG:
-        sinks.overwrite_staging(STAGING[name](spark, sf_dir), database, name)
-    return database
-
-
-@query("list_tables", "SELECT table_name FROM (SELECT 'stg_sellers' AS table_name, count(*) FROM supplier UNION ALL SELECT 'stg_customers', count(*) FROM customer)")
-def list_tables(spark, sf_dir):
-    from tradewind.sources.catalog import list_tables
-
-    return list_tables(spark, [_small_catalog(spark, sf_dir)]).select("table_name")
-
-
-@query("list_columns", """SELECT CAST(i AS INTEGER) AS position, n AS column_name, 'string' AS data_type
-    FROM (SELECT unnest([1, 2, 3, 4]) AS i, unnest(['seller_id', 'seller_zip_code_prefix', 'seller_city', 'seller_state']) AS n),
-         (SELECT count(*) FROM supplier)""")
-def list_columns(spark, sf_dir):
-    from tradewind.sources.catalog import list_columns
-
-    return list_columns(spark, _small_catalog(spark, sf_dir), "stg_sellers")
-
-
-@query("table_sizes")
-def table_sizes(spark, sf_dir):
-    from tradewind.sources.catalog import table_sizes
-
-    return table_sizes(spark, [_small_catalog(spark, sf_dir)])

@@ -8,7 +8,6 @@ from conformance.registry import EXPECTED, QUERIES
 
 load_all()
 SF = "/root/testdata/sf0.001"
-SKIP = {"warehouse_run", "load_summary"}  # covered by the build queries; several minutes together
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +15,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", [n for n in EXPECTED if n not in SKIP])
+@pytest.mark.parametrize("name", list(EXPECTED))
 def test_query(spark, con, name):
     ok, note = compare(QUERIES[name](spark, SF), con, EXPECTED[name])
     assert ok, note

@@ -42,20 +42,43 @@ def test_hot_value_is_spread_over_partitions(spark):
     assert len(sizes) >= 3 and sizes.max() < 30000 / 4
 
 
-@pytest.mark.parametrize("small", [100_000, 0])
-def test_exact_quantiles(spark, small):
+PROBABILITIES = [0.0, 0.2, 0.25, 0.5, 0.77, 1.0]
+
+
+def quantiles(df):
+    return {r["probability"]: r["value"] for r in ranking.exact_quantiles(df, "v", PROBABILITIES).collect()}
+
+
+def test_exact_quantiles(spark):
     df = skewed(spark)
-    probabilities = [0.0, 0.2, 0.25, 0.5, 0.77, 1.0]
-    got = {r["probability"]: r["value"] for r in ranking.exact_quantiles(df, "v", probabilities, small=small).collect()}
-    values = df.toPandas()["v"]
-    for p in probabilities:
+    got, values = quantiles(df), df.toPandas()["v"]
+    for p in PROBABILITIES:
         assert got[p] == pytest.approx(np.quantile(values, p))
 
 
-@pytest.mark.parametrize("small", [100_000, 0])
-def test_exact_quantiles_by_group(spark, small):
+@pytest.mark.parametrize("copies", [1, 100])
+def test_exact_quantiles_are_the_same_for_every_partitioning(spark, copies):
+    value = (F.rand(3) * 1e6).alias("v")
+    once = spark.createDataFrame(spark.range(700).select(value).collect(), "v double")
+    df = once.crossJoin(F.broadcast(spark.range(copies).select("id")))
+    values = np.sort(df.toPandas()["v"].to_numpy())
+    want = {}
+    for p in PROBABILITIES:
+        h = p * (len(values) - 1)
+        a, b = values[int(np.floor(h))], values[int(np.ceil(h))]
+        want[p] = a + (b - a) * (h - np.floor(h))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in (1, 8, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+            assert quantiles(df.repartition(partitions)) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_exact_quantiles_by_group(spark):
     df = skewed(spark).withColumn("g", F.col("id") % 3)
-    got = ranking.exact_quantiles(df, "v", [0.5, 0.9], by=["g"], small=small).toPandas()
+    got = ranking.exact_quantiles(df, "v", [0.5, 0.9], by=["g"]).toPandas()
     want = df.toPandas().groupby("g")["v"].quantile([0.5, 0.9])
     assert len(got) == 6
     for _, r in got.iterrows():

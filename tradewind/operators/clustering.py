@@ -146,7 +146,9 @@ def inertia(df: DataFrame, features: str, label: str) -> DataFrame:
 def davies_bouldin(df: DataFrame, features: str, label: str) -> DataFrame:
     """Mean over clusters of the worst (spread + spread) / centroid distance.
 
-    The pairwise part only sees one row per cluster, held in one array.
+    The pairwise part only sees one row per cluster, held in one array, so it is
+    for fitted clusters, whose number is given. Clusters with one centroid are not
+    compared; one cluster, or none, scores NULL.
     """
     spread = with_centroid(df, features, label).groupBy(label).agg(
         F.avg(F.sqrt("d2")).alias("s"), F.first("centroid").alias("c")
@@ -156,13 +158,14 @@ def davies_bouldin(df: DataFrame, features: str, label: str) -> DataFrame:
         "all",
         lambda a: F.array_max(
             F.transform(
-                F.filter("all", lambda b: b["l"] != a["l"]),
+                F.filter("all", lambda b: squared_distance(a["c"], b["c"]) > 0),
                 lambda b: (a["s"] + b["s"]) / F.sqrt(squared_distance(a["c"], b["c"])),
             )
         ),
     )
-    total = F.aggregate(worst, F.lit(0.0), lambda s, x: s + x)
-    return clusters.select((total / F.size("all")).alias("davies_bouldin"))
+    compared = F.filter(worst, lambda x: x.isNotNull())
+    total = F.aggregate(compared, F.lit(0.0), lambda s, x: s + x)
+    return clusters.select(F.try_divide(total, F.size(compared)).alias("davies_bouldin"))
 
 
 def silhouette_squared(df: DataFrame, features: str, label: str, weight: str | None = None) -> DataFrame:
@@ -187,7 +190,7 @@ def silhouette_squared(df: DataFrame, features: str, label: str, weight: str | N
     other = F.array_min(F.transform(F.filter("means", lambda m: m["label"] != F.col("label")), lambda m: m["d"]))
     a = own["d"] * own["n"] / (own["n"] - 1)
     rows = rows.select("w", own["n"].alias("n"), F.when(own["n"] > 1, a).alias("a"), other.alias("b"))
-    return rows.agg((F.sum(F.col("w") * _silhouette()) / F.sum("w")).alias("silhouette"))
+    return rows.agg(F.try_divide(F.sum(F.col("w") * _silhouette()), F.sum("w")).alias("silhouette_squared"))
 
 
 def _silhouette() -> Column:
@@ -267,11 +270,11 @@ def find_optimal_k(df: DataFrame, columns: list[str], max_k: int = 8, restarts:
     rows = []
     for k, model in fit_kmeans_all(points, list(range(2, max_k + 1)), restarts).items():
         assigned = model.transform(points).select(vector_to_array(VECTOR).alias("x"), "cluster", WEIGHT)
-        score = silhouette_squared(assigned, "x", "cluster", WEIGHT).first()["silhouette"]
+        score = silhouette_squared(assigned, "x", "cluster", WEIGHT).first()["silhouette_squared"]
         rows.append((k, float(model.summary.trainingCost), float(score)))
     points.unpersist()
     best = max(rows, key=lambda r: (r[2], -r[0]))[0] if rows else FALLBACK_K
-    return KSearch(df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double"), best)
+    return KSearch(df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_squared double"), best)
 
 
 def covariance_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -318,11 +321,11 @@ def project(df: DataFrame, columns: list[str], projection: Projection) -> DataFr
 
 
 def noise_report(df: DataFrame, features: str, label: str) -> DataFrame:
-    """Clusters without noise, noise rows and percentage, silhouette of the clustered rows."""
+    """Clusters without noise, noise rows and percentage, squared silhouette of the clustered rows (NULL below two clusters)."""
     counts = df.agg(
         F.countDistinct(F.when(F.col(label) != -1, F.col(label))).alias("n_clusters"),
         F.count_if(F.col(label) == -1).alias("n_noise"),
-        (F.count_if(F.col(label) == -1) / F.count(F.lit(1)) * 100).alias("noise_pct"),
+        (F.try_divide(F.count_if(F.col(label) == -1), F.count(F.lit(1))) * 100).alias("noise_pct"),
     )
     scored = silhouette_squared(df.where(F.col(label) != -1), features, label).scalar()
-    return counts.withColumn("silhouette", F.when(F.col("n_clusters") > 1, scored))
+    return counts.withColumn("silhouette_squared", F.when(F.col("n_clusters") > 1, scored))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -57,6 +58,12 @@ def missing_report(df: DataFrame) -> DataFrame:
     )
 
 
+def per_table(report: Callable[[DataFrame], DataFrame], tables: dict[str, DataFrame]) -> DataFrame:
+    """One of the column or row reports over every table, each named in ``table_name``."""
+    parts = [report(df).select(F.lit(name).alias("table_name"), "*") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def key_uniqueness(df: DataFrame, columns: list[str] | None = None, approximate: bool = False) -> DataFrame:
     """Distinct values and their share of the rows, per identifier column.
 
@@ -158,7 +165,8 @@ def sequence_compliance(items: DataFrame) -> DataFrame:
     """Compliant orders = orders − broken − not starting at 1.
 
     An order that does not start at 1 is also broken and is subtracted twice;
-    that is the published rule. ``integrity_pct`` counts each order once.
+    that is the published rule. ``integrity_pct`` counts each order once. Without
+    orders the rates and ``meets_target`` are NULL.
     """
     report = order_sequences(items).agg(
         F.count(F.lit(1)).alias("total_orders"),
@@ -169,8 +177,8 @@ def sequence_compliance(items: DataFrame) -> DataFrame:
     report = report.withColumn("compliant_orders", compliant)
     return report.withColumns(
         {
-            "compliance_rate": F.col("compliant_orders") / F.col("total_orders") * 100,
-            "integrity_pct": (F.col("total_orders") - F.col("orders_with_gaps")) / F.col("total_orders") * 100,
+            "compliance_rate": F.try_divide("compliant_orders", "total_orders") * 100,
+            "integrity_pct": F.try_divide(F.col("total_orders") - F.col("orders_with_gaps"), F.col("total_orders")) * 100,
         }
     ).withColumn("meets_target", F.col("compliance_rate") >= TARGET_COMPLIANCE)
 
@@ -219,15 +227,19 @@ def timestamp_progression(orders: DataFrame, first: str, second: str, third: str
 
 
 def threshold_gate(tables: dict[str, DataFrame], items: DataFrame, references: DataFrame) -> DataFrame:
-    """Pass or fail of the three declared load thresholds."""
+    """Pass or fail of the three declared load thresholds, over all given tables.
+
+    A table without rows misses nothing; without any table or reference the
+    measured value is 0.
+    """
     missing = reduce(
         DataFrame.unionByName, [_missing_counts(df).withColumn("table_name", F.lit(n)) for n, df in tables.items()]
     )
-    worst = missing.agg(F.max(F.col("missing") / F.col("total") * 100).alias("measured"))
+    worst = missing.agg(F.coalesce(F.max(F.try_divide("missing", "total") * 100), F.lit(0.0)).alias("measured"))
     gates = [
         ("max_missing_percentage", worst, MAX_MISSING_PERCENT),
         ("validate_order_sequence", sequence_gaps(items).agg(F.count(F.lit(1)).cast("double").alias("measured")), 0.0),
-        ("enforce_referential_integrity", references.agg(F.sum("orphaned_keys").cast("double").alias("measured")), 0.0),
+        ("enforce_referential_integrity", references.agg(F.coalesce(F.sum("orphaned_keys"), F.lit(0)).cast("double").alias("measured")), 0.0),
     ]
     return reduce(
         DataFrame.unionByName,

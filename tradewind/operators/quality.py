@@ -154,8 +154,8 @@ UNIQUE_KEYS: dict[str, list[tuple[str, ...]]] = {
     "fact_order_items": [("order_item_sk",), ("order_id", "order_item_id")],
     "fact_payments": [("payment_sk",), ("order_id", "payment_sequential")],
     "fact_reviews": [("review_sk",), ("review_id",)],
-    "agg_monthly_sales": [("year_month",)],
-    "agg_product_performance": [("product_sk",)],
+    "agg_monthly_sales": [("sales_agg_sk",), ("year_month",)],
+    "agg_product_performance": [("product_perf_sk",), ("product_sk",)],
 }
 
 # Declared references (child table, child column, parent table, parent column).

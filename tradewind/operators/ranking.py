@@ -61,31 +61,18 @@ def surrogate_key(df: DataFrame, name: str, natural_key: list[str], ties: list[s
     return keyed.select(name, *df.columns)
 
 
-def exact_quantiles(
-    df: DataFrame, column: str, probabilities: list[float], by: list[str] = (), small: int = 100_000
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, probabilities: list[float], by: list[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation: columns ``by``, probability, value.
 
-    Equal values are counted together first. If few distinct values remain, the
-    built-in aggregate (which holds one map of them) is used; beyond ``small``
-    the distinct values are range partitioned and only the partitions that hold
-    a wanted position are looked at. NULL and NaN are ignored.
+    Of n values, the quantile of p stands at h = p * (n - 1): with a and b the
+    values at floor(h) and ceil(h), it is a + (b - a) * (h - floor(h)), whatever
+    the size and partitioning of the input. Equal values are counted together,
+    the counts are range partitioned, and only the partitions that hold a wanted
+    position are looked at. NULL and NaN are ignored.
     """
     by = list(by)
     value = F.col(column).cast("double")
     data = df.select(*by, value.alias("_v")).where(value.isNotNull() & ~F.isnan(value))
-    distinct = data.agg(F.approx_count_distinct(F.struct(*by, "_v"))).first()[0]
-    if distinct <= small:
-        wanted = [float(p) for p in probabilities]
-        found = data.groupBy(*by).agg(F.percentile("_v", wanted).alias("_q"))
-        pairs = [
-            F.struct(F.lit(p).alias("probability"), F.col("_q")[i].alias("value")) for i, p in enumerate(wanted)
-        ]
-        return found.select(*by, F.inline(F.array(*pairs)))
-    return _quantiles_by_position(data, by, probabilities)
-
-
-def _quantiles_by_position(data: DataFrame, by: list[str], probabilities: list[float]) -> DataFrame:
     keys = by or ["_all"]
     if not by:
         data = data.withColumn("_all", F.lit(1))

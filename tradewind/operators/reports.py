@@ -338,7 +338,7 @@ def items_per_order_stats(items: DataFrame) -> DataFrame:
         F.avg("n").alias("mean_items"),
         F.max("n").alias("max_items"),
         F.count_if(F.col("n") > 1).alias("multi_item_orders"),
-        (F.count_if(F.col("n") > 1) / F.count(F.lit(1)) * 100).alias("multi_item_pct"),
+        (F.try_divide(F.count_if(F.col("n") > 1), F.count(F.lit(1))) * 100).alias("multi_item_pct"),
     )
 
 
@@ -350,9 +350,10 @@ def item_position_range(items: DataFrame) -> DataFrame:
     )
 
 
-def item_position_distribution(items: DataFrame, k: int = 10) -> DataFrame:
-    """Rows per item position, first k positions."""
-    return items.groupBy("order_item_id").agg(F.count(F.lit(1)).alias("n")).orderBy("order_item_id").limit(k)
+def item_position_distribution(items: DataFrame, k: int | None = None) -> DataFrame:
+    """Rows per item position; with ``k`` the first k positions."""
+    counted = items.groupBy("order_item_id").agg(F.count(F.lit(1)).alias("n"))
+    return counted if k is None else counted.orderBy("order_item_id").limit(k)
 
 
 def sample_rows(df: DataFrame, order: list[str], k: int) -> DataFrame:

@@ -55,17 +55,17 @@ def build_dim_date(staging: dict[str, DataFrame]) -> DataFrame:
     return declared(rows, "dim_date")
 
 
-def build_dim_customer(customers: DataFrame) -> DataFrame:
-    return _build_place_dimension(customers, "customer", ["customer_id", "customer_unique_id"])
+def build_dim_customer(customers: DataFrame, keep_all: bool = False) -> DataFrame:
+    return _build_place_dimension(customers, "customer", ["customer_id", "customer_unique_id"], keep_all)
 
 
-def build_dim_seller(sellers: DataFrame) -> DataFrame:
-    return _build_place_dimension(sellers, "seller", ["seller_id"])
+def build_dim_seller(sellers: DataFrame, keep_all: bool = False) -> DataFrame:
+    return _build_place_dimension(sellers, "seller", ["seller_id"], keep_all)
 
 
-def _build_place_dimension(staging: DataFrame, kind: str, ids: list[str]) -> DataFrame:
-    """Customers and sellers: cleaned city and state, derived region."""
-    staging = require_key(with_hash(staging), ids[0])
+def _build_place_dimension(staging: DataFrame, kind: str, ids: list[str], keep_all: bool) -> DataFrame:
+    """Customers and sellers: cleaned city and state, derived region; ``keep_all`` keeps every source row."""
+    staging = with_hash(staging) if keep_all else require_key(with_hash(staging), ids[0])
     city, state = f"{kind}_city", f"{kind}_state"
     cleaned = staging.select(
         *ids,
@@ -73,8 +73,8 @@ def _build_place_dimension(staging: DataFrame, kind: str, ids: list[str]) -> Dat
         text.clean_city(city).alias(city),
         text.clean_state(state).alias(state),
         "record_hash",
-    ).distinct()
-    rows = cleaned.withColumns(
+    )
+    rows = (cleaned if keep_all else cleaned.distinct()).withColumns(
         {
             f"{kind}_region": retail.state_region(state),
             "is_active": F.lit(True),
@@ -85,9 +85,12 @@ def _build_place_dimension(staging: DataFrame, kind: str, ids: list[str]) -> Dat
 
 
 def category_translation_join(products: DataFrame, categories: DataFrame) -> DataFrame:
-    """English category name, else the original one, else ``Unknown``."""
-    lookup = categories.select(
-        F.col("product_category_name").alias("_name"), F.col("product_category_name_english").alias("_english")
+    """English category name, else the original one, else ``Unknown``.
+
+    A name with several translations takes the first in order, so that a product stays one row.
+    """
+    lookup = categories.groupBy(F.col("product_category_name").alias("_name")).agg(
+        F.min("product_category_name_english").alias("_english")
     )
     joined = products.join(lookup, products["product_category_name"] == lookup["_name"], "left")
     return joined.withColumn(
@@ -95,8 +98,9 @@ def category_translation_join(products: DataFrame, categories: DataFrame) -> Dat
     ).drop("_name", "_english")
 
 
-def build_dim_product(products: DataFrame, categories: DataFrame) -> DataFrame:
-    products = require_key(with_hash(products), "product_id")
+def build_dim_product(products: DataFrame, categories: DataFrame, keep_all: bool = False) -> DataFrame:
+    """Products with their English category, sizes and first version; ``keep_all`` keeps every source row."""
+    products = with_hash(products) if keep_all else require_key(with_hash(products), "product_id")
     counts = ["product_name_lenght", "product_description_lenght", "product_photos_qty"]
     sizes = ["product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]
     cleaned = category_translation_join(products, categories).select(
@@ -106,8 +110,8 @@ def build_dim_product(products: DataFrame, categories: DataFrame) -> DataFrame:
         *[text.parse_number(c).cast("int").alias(c) for c in counts],
         *[text.parse_number(c, "decimal(10,2)").alias(c) for c in sizes],
         "record_hash",
-    ).distinct()
-    rows = cleaned.withColumn(
+    )
+    rows = (cleaned if keep_all else cleaned.distinct()).withColumn(
         "product_volume_cm3", retail.product_volume(*sizes[1:]).cast("decimal(15,2)")
     ).withColumns(
         {
@@ -119,16 +123,18 @@ def build_dim_product(products: DataFrame, categories: DataFrame) -> DataFrame:
     return declared(rows, "dim_product")
 
 
-def build_dim_order_status(orders: DataFrame, impute: bool = True) -> DataFrame:
+def build_dim_order_status(orders: DataFrame, impute: bool = True, keep_all: bool = False) -> DataFrame:
     """Order lifecycle with delay metrics.
 
     ``impute=True`` fills missing times first and measures elapsed 24-hour
     days. ``impute=False`` keeps them missing, subtracts calendar dates, and
-    reports ``Unknown`` where a delay is not known.
+    reports ``Unknown`` where a delay is not known. ``keep_all`` keeps every
+    source row.
     """
-    parsed = require_key(with_hash(orders), "order_id").select(
+    parsed = (with_hash(orders) if keep_all else require_key(with_hash(orders), "order_id")).select(
         "order_id", "order_status", *[text.parse_timestamp(c).alias(c) for c in ORDER_TIMES], "record_hash"
-    ).distinct()
+    )
+    parsed = parsed if keep_all else parsed.distinct()
     purchase, approved, _, delivered, estimated = ORDER_TIMES
     if impute:
         times = parsed.withColumns(retail.fill_lifecycle(*ORDER_TIMES))

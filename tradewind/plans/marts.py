@@ -50,10 +50,11 @@ def monthly_sales(
         F.sum("freight_value").alias("freight"),
         F.sum("total_item_value").alias("total"),
     )
-    # order_id is unique in the order dimension, so an order has one month and one customer.
-    per_customer = per_order.groupBy("year_month", "customer_sk").agg(
-        F.count(F.lit(1)).alias("n_orders"), *[F.sum(c).alias(c) for c in sums]
+    # Orders are counted apart from customers, so an order of two customers or months is counted as such.
+    orders = per_order.groupBy("year_month", "order_id").agg(F.lit(1).alias("_one")).groupBy("year_month").agg(
+        F.count("order_id").alias("total_orders")
     )
+    per_customer = per_order.groupBy("year_month", "customer_sk").agg(*[F.sum(c).alias(c) for c in sums])
     if count_new_customers:
         first = per_customer.groupBy("customer_sk").agg(F.min("year_month").alias("first_month"))
         per_customer = per_customer.join(first, "customer_sk").withColumn(
@@ -63,7 +64,6 @@ def monthly_sales(
         per_customer = per_customer.withColumn("is_new", F.lit(0))
     located = per_customer.join(dim_customer.select("customer_sk", "customer_state"), "customer_sk", "left")
     base = located.groupBy("year_month").agg(
-        F.sum("n_orders").alias("total_orders"),
         *[F.sum(c).alias(c) for c in sums],
         F.count("customer_sk").alias("unique_customers"),
         F.sum("is_new").alias("new_customers"),
@@ -74,7 +74,9 @@ def monthly_sales(
     )
     year, month = F.floor(F.col("year_month") / 100).cast("int"), F.pmod("year_month", F.lit(100))
     first_day = F.make_date(year, month, F.lit(1))
-    rows = base.join(products, "year_month").select(
+    rows = base.join(products, "year_month").join(orders, "year_month").select(
+        # One row a month: as a key, the month itself is unique and stays the same in every load.
+        F.col("year_month").cast("long").alias("sales_agg_sk"),
         "year_month",
         year.alias("year"),
         month.alias("month"),
@@ -181,7 +183,11 @@ def product_performance(
     ranked = with_rank(metrics, "last_12_months_revenue", "product_sk", "revenue_rank")
     ranked = with_rank(ranked, "last_12_months_items", "product_sk", "volume_rank")
     rows = ranked.withColumns(
-        {"avg_review_score": retail.zero_to_null("avg_review_score"), "last_updated": F.current_timestamp()}
+        {
+            "product_perf_sk": F.col("product_sk"),  # one row per product
+            "avg_review_score": retail.zero_to_null("avg_review_score"),
+            "last_updated": F.current_timestamp(),
+        }
     )
     return declared(rows, "agg_product_performance")
 

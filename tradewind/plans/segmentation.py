@@ -43,14 +43,14 @@ def run_segmentation(
         search = cl.find_optimal_k(scaled, z, max_k, restarts)
         scores, k = search.scores, search.best_k
     else:
-        scores = spark.createDataFrame([], "k int, inertia double, silhouette double")
+        scores = spark.createDataFrame([], "k int, inertia double, silhouette_squared double")
     points = cl.weighted_points(scaled, z)
     kmeans = cl.fit_kmeans(points, k, restarts)
     points.unpersist()
     projection = cl.fit_pca(scaled, z)
     assigned = kmeans.transform(cl.assemble(scaled, z)).select(vector_to_array(cl.VECTOR).alias("x"), "cluster")
     quality = {
-        "silhouette": cl.silhouette_squared(assigned, "x", "cluster").first()[0],
+        "silhouette_squared": cl.silhouette_squared(assigned, "x", "cluster").first()[0],
         "davies_bouldin": cl.davies_bouldin(assigned, "x", "cluster").first()[0],
     }
     model = bundle(spark, FEATURE_COLUMNS, stats, kmeans, projection, quality, scaled.count())

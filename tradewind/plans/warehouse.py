@@ -8,13 +8,15 @@ loaded that was not.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.operators.quality import ROW_RULES, quarantine_split
+from tradewind.operators.quality import ROW_RULES
 from tradewind.operators.ranking import surrogate_key
 from tradewind.plans import dimensions, facts, marts
+from tradewind.session import configure, materialize, run_folder
 
 # Surrogate key, natural key and further tie columns of each numbered table.
 KEYS: dict[str, tuple[str, list[str], list[str]]] = {
@@ -31,38 +33,29 @@ KEYS: dict[str, tuple[str, list[str], list[str]]] = {
     "fact_reviews": ("review_sk", ["review_id"], []),
 }
 
-# Tables whose natural key is not enforced on load, so equal keys may repeat.
+# Tables whose natural key may repeat; in all others one row is loaded for each.
 REPEATING = {"fact_order_items", "fact_payments"}
 
-
-def keyed(table: str, rows: DataFrame) -> DataFrame:
-    name, natural, ties = KEYS[table]
-    return surrogate_key(rows, name, natural, ties, unique=table not in REPEATING)
-
-
-def valid_rows(table: str, rows: DataFrame) -> DataFrame:
-    return quarantine_split(rows, ROW_RULES[table])[0]
-
-
-def rejected_rows(table: str, rows: DataFrame) -> DataFrame:
-    return quarantine_split(rows, ROW_RULES[table])[1]
+_ROW = "_row"
 
 
 def unkeyed(table: str, t: dict[str, DataFrame]) -> DataFrame:
-    """The rows of one dimension, fact or mart from the tables before it."""
+    """Every candidate row of one dimension, fact or mart from the tables before it; unresolved keys are NULL."""
     builds: dict[str, Callable[[], DataFrame]] = {
         "dim_date": lambda: dimensions.build_dim_date(t),
-        "dim_customer": lambda: dimensions.build_dim_customer(t["stg_customers"]),
-        "dim_product": lambda: dimensions.build_dim_product(t["stg_products"], t["stg_product_categories"]),
-        "dim_seller": lambda: dimensions.build_dim_seller(t["stg_sellers"]),
-        "dim_order_status": lambda: dimensions.build_dim_order_status(t["stg_orders"]),
+        "dim_customer": lambda: dimensions.build_dim_customer(t["stg_customers"], keep_all=True),
+        "dim_product": lambda: dimensions.build_dim_product(t["stg_products"], t["stg_product_categories"], keep_all=True),
+        "dim_seller": lambda: dimensions.build_dim_seller(t["stg_sellers"], keep_all=True),
+        "dim_order_status": lambda: dimensions.build_dim_order_status(t["stg_orders"], keep_all=True),
         "fact_order_items": lambda: facts.build_fact_order_items(
             t["stg_order_items"], t["stg_orders"], t["dim_customer"], t["dim_product"], t["dim_seller"],
-            t["dim_order_status"],
+            t["dim_order_status"], keep_unresolved=True,
+        ),
+        "fact_payments": lambda: facts.build_fact_payments(
+            t["stg_payments"], t["stg_orders"], t["dim_order_status"], keep_unresolved=True
         ),
-        "fact_payments": lambda: facts.build_fact_payments(t["stg_payments"], t["stg_orders"], t["dim_order_status"]),
         "fact_reviews": lambda: facts.build_fact_reviews(
-            t["stg_reviews"], t["stg_orders"], t["dim_customer"], t["dim_order_status"]
+            t["stg_reviews"], t["stg_orders"], t["dim_customer"], t["dim_order_status"], keep_unresolved=True
         ),
         "agg_monthly_sales": lambda: marts.monthly_sales(t["fact_order_items"], t["dim_date"], t["dim_customer"]),
         "agg_product_performance": lambda: marts.product_performance(
@@ -72,6 +65,46 @@ def unkeyed(table: str, t: dict[str, DataFrame]) -> DataFrame:
     return builds[table]()
 
 
+def flagged_rows(table: str, rows: DataFrame) -> DataFrame:
+    """Candidate rows with a frozen row number and the names of the rules they break.
+
+    Rows are written once, so that loaded and rejected rows are two reads of one
+    table. Of rows that share a natural key, the first is loaded: for reviews the
+    latest, elsewhere a row that breaks no other rule before one that does, then
+    by hash. The others break ``unique:<key>``. A row without its keys takes no
+    part in that. Only keys that do repeat are joined back.
+    """
+    rules = ROW_RULES[table]
+    rows = materialize(rows.withColumn(_ROW, F.monotonically_increasing_id()), table)
+    broken = F.concat_ws(",", *[F.when(r.violated(), F.lit(r.name)) for r in rules])
+    flagged = rows.withColumn("broken_rules", broken)
+    if table not in KEYS or table in REPEATING:
+        return flagged
+    key = KEYS[table][1][0]
+    needed = [r.column for r in rules if r.kind == "not_null" and (r.column == key or r.column.endswith("_sk"))]
+    complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in needed])
+    if table == "fact_reviews":
+        order = [facts.newest_first("review_creation_date"), F.col("order_id")]
+    else:
+        order = [F.col("broken_rules") != "", F.col("record_hash")]
+    first = F.min(F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order)], _ROW)).alias("_first")
+    repeated = (
+        flagged.where(complete).groupBy(key).agg(F.count(F.lit(1)).alias("_n"), first).where("_n > 1")
+        .select(key, F.col(f"_first.{_ROW}").alias("_kept"))
+    )
+    later = complete & (F.col("_kept") != F.col(_ROW))
+    names = F.concat_ws(",", F.when(F.col("broken_rules") != "", F.col("broken_rules")), F.when(later, F.lit(f"unique:{key}")))
+    return flagged.join(repeated, key, "left").select(
+        *[names.alias(c) if c == "broken_rules" else c for c in flagged.columns]
+    )
+
+
+def keyed(table: str, rows: DataFrame) -> DataFrame:
+    """Rows numbered in natural-key order; where that may repeat, the frozen row number is the last tie-break."""
+    name, natural, ties = KEYS[table]
+    return surrogate_key(rows, name, natural, [*ties, _ROW]).drop(_ROW)
+
+
 # Build order of each layer.
 STEPS = {
     "dimensions": ["dim_date", "dim_customer", "dim_product", "dim_seller", "dim_order_status"],
@@ -80,13 +113,23 @@ STEPS = {
 }
 
 
-def build_table(table: str, tables: dict[str, DataFrame]) -> DataFrame:
-    """Valid rows of one table, numbered where the table has a surrogate key."""
+def split_table(table: str, tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame | None]:
+    """Loaded rows of one table, numbered where it has a surrogate key, and the rejected ones with ``broken_rules``."""
     rows = unkeyed(table, tables)
     if table not in ROW_RULES or table.startswith("agg_"):
-        return rows
-    rows = valid_rows(table, rows)
-    return keyed(table, rows) if table in KEYS else rows
+        return rows, None
+    flagged = flagged_rows(table, rows)
+    valid = flagged.where("broken_rules = ''").drop("broken_rules", *facts.SOURCE_KEYS.get(table, []))
+    return keyed(table, valid) if table in KEYS else valid.drop(_ROW), flagged.where("broken_rules <> ''").drop(_ROW)
+
+
+def build_table(table: str, tables: dict[str, DataFrame]) -> DataFrame:
+    return split_table(table, tables)[0]
+
+
+def rejected_rows(table: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of one table that are not loaded, with the rules they break."""
+    return flagged_rows(table, unkeyed(table, tables)).where("broken_rules <> ''").drop(_ROW)
 
 
 def run_warehouse(
@@ -97,26 +140,36 @@ def run_warehouse(
     """Build everything; returns the written tables and a summary of the steps.
 
     ``sink(layer, table, rows)`` writes a table and returns it as stored with
-    its row count. A source that is missing counts 0 rows, and the tables that
-    need it are built from what is there or raise.
+    its row count. Rows that are not loaded are written to the layer
+    ``rejected`` with the rules they break: row rules, repeated natural keys,
+    and, for facts, keys that no dimension row has (``not_null:<key>``). For each
+    dimension and fact, source rows are loaded rows plus rejected rows. A source
+    that is missing counts 0 rows, and the tables that need it are built from
+    what is there or raise. Intermediates are removed at the end.
     """
+    configure(spark)
     tables: dict[str, DataFrame] = {}
-    summary: list[tuple[str, str, int, str]] = []
+    summary: list[tuple[str, str, int, int, str]] = []
     for table, rows in staging.items():
         if rows is None:
-            summary.append(("staging", table, 0, "missing"))
+            summary.append(("staging", table, 0, 0, "missing"))
             continue
         tables[table], n = sink("staging", table, rows)
-        summary.append(("staging", table, n, "loaded"))
-    for layer, names in STEPS.items():
-        for table in names:
-            tables[table], n = sink(layer, table, build_table(table, tables))
-            summary.append((layer, table, n, "loaded"))
-    return tables, spark.createDataFrame(summary, "layer string, table_name string, rows long, status string")
+        summary.append(("staging", table, n, 0, "loaded"))
+    with run_folder(spark):
+        for layer, names in STEPS.items():
+            for table in names:
+                loaded, rejected = split_table(table, tables)
+                refused = sink("rejected", table, rejected)[1] if rejected is not None else 0
+                tables[table], n = sink(layer, table, loaded)
+                summary.append((layer, table, n, refused, "loaded"))
+    return tables, spark.createDataFrame(
+        summary, "layer string, table_name string, rows long, rejected long, status string"
+    )
 
 
 def load_summary(summary: DataFrame) -> DataFrame:
-    """Rows and tables per layer."""
+    """Tables, loaded rows and rejected rows per layer."""
     return summary.groupBy("layer").agg(
-        F.count(F.lit(1)).alias("n_tables"), F.sum("rows").alias("total_rows")
+        F.count(F.lit(1)).alias("n_tables"), F.sum("rows").alias("total_rows"), F.sum("rejected").alias("rejected_rows")
     )

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RUN: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -34,6 +40,25 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply :data:`SETTINGS` to a session that was made elsewhere."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
+def workers_find_package(spark: SparkSession) -> None:
+    """Put the folder of this package on the search path of Python workers that share this machine's files.
+
+    Elsewhere the package is installed or sent along with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -53,14 +78,32 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
-def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for the intermediates of one run, removed when the run ends.
+
+    What :func:`materialize` writes meanwhile goes there, unless it is kept.
+    """
+    path = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    token = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(token)
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def materialize(df: DataFrame, label: str = "table", keep: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
-    Used wherever lineage has to be cut or a nondeterministic column (partition
+    Inside a :func:`run_folder` the table is removed with the run; ``keep`` is
+    for results that outlive it. Used wherever lineage has to be cut or a nondeterministic column (partition
     number, row position) has to be frozen. Parquet keeps column pruning,
     filter pushdown and true sizes for the readers, and survives executor loss.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = None if keep else _RUN.get()
+    path = f"{folder or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -49,10 +49,10 @@ def bundle(
         _select(f"element_at(array({numbers}), cluster + 1) AS kmeans_cluster", *components),
     ]
     created = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    row = (created, len(kmeans.clusterCenters()), n_samples, scores["silhouette"], scores["davies_bouldin"], ",".join(columns))
+    row = (created, len(kmeans.clusterCenters()), n_samples, scores["silhouette_squared"], scores["davies_bouldin"], ",".join(columns))
     metadata = spark.createDataFrame(
         [row],
-        "created_date string, n_clusters int, n_samples long, silhouette_score double, davies_bouldin_score double, feature_names string",
+        "created_date string, n_clusters int, n_samples long, silhouette_squared double, davies_bouldin_score double, feature_names string",
     )
     return SegmentationModel(PipelineModel(stages), metadata)
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-LAYERS = ["staging", "dimensions", "facts", "marts"]
+LAYERS = ["staging", "dimensions", "facts", "marts", "rejected"]
 
 
 _TYPES = {
@@ -99,11 +99,11 @@ FACTS = {
 }
 
 MARTS = {
-    "agg_monthly_sales": _schema("""year_month int, year int, month int, month_name string, total_orders bigint,
+    "agg_monthly_sales": _schema("""sales_agg_sk bigint, year_month int, year int, month int, month_name string, total_orders bigint,
         total_items bigint, total_revenue decimal(38,2), total_freight decimal(38,2), avg_order_value double,
         avg_items_per_order decimal(10,2), unique_customers bigint, new_customers bigint, unique_products bigint,
         unique_states bigint, last_updated timestamp"""),
-    "agg_product_performance": _schema("""product_sk bigint, last_12_months_revenue decimal(38,2),
+    "agg_product_performance": _schema("""product_perf_sk bigint, product_sk bigint, last_12_months_revenue decimal(38,2),
         last_12_months_orders bigint, last_12_months_items bigint, avg_price double, avg_review_score double,
         total_reviews bigint, revenue_rank bigint, volume_rank bigint, last_updated timestamp"""),
 }

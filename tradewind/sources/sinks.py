@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.operators.quality import UNIQUE_KEYS
+from tradewind.operators.quality import UNIQUE_KEYS, check_unique
 from tradewind.sources.files import observed
 from tradewind.sources.schemas import LAYERS, table_schema
 
 
 def layer_namespaces(spark: SparkSession, prefix: str = "") -> list[str]:
-    """Create the four layer databases if they are missing."""
+    """Create the layer databases if they are missing."""
     names = [prefix + layer for layer in LAYERS]
     for name in names:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
@@ -40,15 +40,18 @@ def truncate_load(df: DataFrame, database: str, table: str) -> int:
 
 
 def append_load(df: DataFrame, database: str, table: str) -> int:
-    """Append after checking that no declared key would repeat."""
+    """Append after checking that no declared key repeats, within the rows or with stored ones."""
     spark = df.sparkSession
     name = f"{database}.{table}"
-    if spark.catalog.tableExists(name):
-        stored = spark.table(name)
-        for columns in UNIQUE_KEYS.get(table, []):
-            keys = list(columns)
-            if not df.select(*keys).join(stored.select(*keys), keys, "left_semi").isEmpty():
-                raise ValueError(f"{name}: rows with existing {', '.join(keys)}")
+    stored = spark.table(name) if spark.catalog.tableExists(name) else None
+    for columns in UNIQUE_KEYS.get(table, []):
+        keys = list(columns)
+        if not set(keys) <= set(df.columns):
+            continue
+        if not check_unique(df, table, columns).isEmpty():
+            raise ValueError(f"{name}: rows that repeat {', '.join(keys)}")
+        if stored is not None and not df.select(*keys).join(stored.select(*keys), keys, "left_semi").isEmpty():
+            raise ValueError(f"{name}: rows with existing {', '.join(keys)}")
     counted, seen = observed(df, table)
     counted.write.mode("append").format("parquet").saveAsTable(name)
     return seen.get["rows"]
@@ -79,7 +82,7 @@ def catalog_sink(spark: SparkSession, prefix: str = "") -> Callable[[str, str, D
 
     def write(layer: str, table: str, rows: DataFrame) -> tuple[DataFrame, int]:
         database = prefix + layer
-        load = {"staging": overwrite_staging, "marts": mart_load}.get(layer, truncate_load)
+        load = {"staging": overwrite_staging, "rejected": overwrite_staging, "marts": mart_load}.get(layer, truncate_load)
         n = load(rows, database, table)
         return spark.table(f"{database}.{table}"), n
 
