@@ -14,7 +14,7 @@ from tradewind.llm.languages import identified
 from tradewind.llm.near_duplicates import near_duplicate_groups
 from tradewind.llm.packing import packed
 from tradewind.llm.pseudonyms import pseudonymised
-from tradewind.session import shared_folder
+from tradewind.session import shared_folder, workers_find_package
 
 #: Demonstration key of the pseudonyms; a deployment sets its own in the environment.
 KEY = os.environ.get("CORPUS_PSEUDONYM_KEY", "corpus")
@@ -64,6 +64,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents of a folder; each result is written and read again as the next one's input."""
+    workers_find_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     for name, stage in STAGES:
