@@ -160,22 +160,26 @@ def training_fold(doc_id: Column) -> Column:
 def train(docs: DataFrame, per_language: int = 300, window: int = 1024, languages: int = 256, steps: int = 500) -> Network | None:
     """Fit on a bounded sample of labelled rows of the training fold.
 
-    Of each of the ``languages`` most frequent labels, ``per_language`` documents with the least hash of doc_id give one stretch of
-    ``window`` characters at a place given by that hash. Returns None where nothing is labelled.
+    Of each of the ``languages`` most frequent labels, about ``per_language`` documents with the least hash of doc_id give one stretch of
+    ``window`` characters at a place given by that hash. Labels are counted first, so that rows beyond three times the wanted number
+    are left out by their hash where they are read. Returns None where nothing is labelled.
     """
     chosen = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     chosen = chosen.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & training_fold(F.col("id")) & (F.trim("text") != ""))
     order = F.xxhash64("id")
     room = F.greatest(F.char_length("text") - F.lit(window), F.lit(0)) + 1
     stretch = F.col("text").substr((F.pmod(order, room) + 1).cast("int"), F.lit(window))
-    narrow = chosen.select("lang", "id", order.alias("h"), stretch.alias("stretch"))
+    counted = chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
+    if not counted:
+        return None
+    reach = [(r["lang"], -(1 << 63) + int(min(1.0, 3 * per_language / r["n"]) * ((1 << 64) - 1))) for r in counted]
+    limits = docs.sparkSession.createDataFrame(reach, "lang string, most long")
+    near = chosen.join(F.broadcast(limits), "lang").where(order <= F.col("most"))
+    narrow = near.select("lang", "id", order.alias("h"), stretch.alias("stretch"))
     first = narrow.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "id", "stretch"))).where(F.col("n") <= per_language)
     rows = first.collect()
-    counts: dict[str, int] = {}
-    for r in rows:
-        counts[r["lang"]] = counts.get(r["lang"], 0) + 1
-    labels = sorted(sorted(counts, key=lambda x: (-counts[x], x))[:languages])
-    rows = sorted((r["lang"], r["h"], r["id"], r["stretch"]) for r in rows if r["lang"] in set(labels))
+    labels = sorted({r["lang"] for r in rows})
+    rows = sorted((r["lang"], r["h"], r["id"], r["stretch"]) for r in rows)
     if not rows:
         return None
     codes, filled, target = [], [], []

@@ -17,6 +17,7 @@ from tradewind.llm.packing import packed
 from tradewind.llm.pseudonyms import pseudonyms
 from tradewind.llm.suffix_repeats import without_repeats
 from tradewind.llm.urls import judged
+from tradewind.session import workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 EXPECTED: dict[str, str] = {}
@@ -27,7 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[run.__name__] = run
+    def with_workers(spark: SparkSession, sf_dir: str) -> DataFrame:
+        workers_find_package(spark)
+        return run(spark, sf_dir)
+
+    QUERIES[run.__name__] = with_workers
     return run
 
 
