@@ -20,6 +20,7 @@ from tradewind.functions.text import money_text
 from tradewind.operators import clustering as cl
 from tradewind.operators import dbscan as density
 from tradewind.operators import rfm, segments
+from tradewind.operators.kmeans import fit_kmeans, weighted_points
 from tradewind.plans import segmentation
 from tradewind.session import materialize
 from tradewind.sources import models
@@ -302,10 +303,10 @@ def dbscan(spark, sf_dir):
 
 @query("kmeans_fit")
 def kmeans_fit(spark, sf_dir):
-    data = cl.assemble(scaled(spark, sf_dir).select("customer_sk", *_ZCOLS), _ZCOLS)
-    model = cl.fit_kmeans(cl.weighted_points(data, _ZCOLS), 4)
-    numbers = F.array(*[F.lit(n) for n in cl.centroid_order(model)])
-    return model.transform(data).select("customer_sk", F.element_at(numbers, F.col("cluster") + 1).alias("kmeans_cluster"))
+    data = scaled(spark, sf_dir)
+    fit = fit_kmeans(weighted_points(data, _ZCOLS), 4)
+    rows = data.select("customer_sk", F.array(*_ZCOLS).alias("x"))
+    return cl.kmeans_assign(rows, F.col("x"), fit.centroids).drop("x")
 
 
 @query("find_optimal_k")

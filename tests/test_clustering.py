@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradewind.operators import clustering as cl
+from tradewind.operators import kmeans
 from tradewind.operators.dbscan import connected_components, dbscan
 
 
@@ -48,6 +49,56 @@ def test_dbscan_equals_brute_force(spark, points, block_points):
     assert got["dbscan_cluster"].tolist() == labels.tolist()
 
 
+def test_dbscan_with_text_keys(spark, points):
+    rows = [(f"k{i:05d}", *map(float, p)) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "id string, a double, b double, c double, d double")
+    got = dbscan(df, "id", ["a", "b", "c", "d"], 0.6, 5).orderBy("id").toPandas()
+    core, labels = brute_dbscan(points, 0.6, 5)
+    assert got["is_core"].tolist() == core.tolist() and got["dbscan_cluster"].tolist() == labels.tolist()
+
+
+@pytest.mark.parametrize("shape", ["line", "one", "none"])
+def test_dbscan_of_odd_shapes(spark, shape):
+    rng = np.random.default_rng(3)
+    points = {
+        "line": np.stack([np.linspace(0, 30, 300), np.zeros(300)], axis=1) + rng.normal(0, 0.02, (300, 2)) * [1, 0],
+        "one": np.repeat([[1.5, -2.0]], 30, axis=0),
+        "none": np.zeros((0, 2)),
+    }[shape]
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(points)], "id long, a double, b double")
+    got = dbscan(df, "id", ["a", "b"], 0.25, 3, block_points=20).orderBy("id").toPandas()
+    core, labels = brute_dbscan(points, 0.25, 3)
+    assert got["is_core"].tolist() == core.tolist() and got["dbscan_cluster"].tolist() == labels.tolist()
+
+
+def test_kmeans_starts_all_at_once(spark, points):
+    names = ["a", "b", "c", "d"]
+    df = spark.createDataFrame([tuple(map(float, p)) for p in points], ", ".join(f"{n} double" for n in names))
+    fits = kmeans.fit_kmeans_all(kmeans.weighted_points(df.repartition(7), names), [2, 4], restarts=4)
+    for k, fit in fits.items():
+        c = np.array(fit.centroids)
+        nearest = ((points[:, None] - c[None]) ** 2).sum(-1)
+        label = nearest.argmin(1)
+        assert c.shape == (k, 4) and fit.centroids == sorted(fit.centroids)
+        assert fit.inertia == pytest.approx(nearest.min(1).sum(), rel=1e-3)
+        for i in range(k):
+            assert points[label == i].mean(0) == pytest.approx(c[i], abs=1e-3)
+    assert fits[4].inertia < fits[2].inertia
+    few = spark.createDataFrame([(1.0,), (1.0,), (5.0,)], "a double")
+    assert kmeans.fit_kmeans(kmeans.weighted_points(few, ["a"]), 4).centroids == [[1.0], [5.0]]
+    assert kmeans.fit_kmeans_all(kmeans.weighted_points(few.limit(0), ["a"]), [2]) == {}
+
+
+def test_silhouette_of_many_clusters_in_blocks(spark, points, monkeypatch):
+    points = points[:180]  # without copies
+    labels = np.arange(len(points)) // 9
+    df = spark.createDataFrame([(list(map(float, p)), int(i)) for p, i in zip(points, labels)], "x array<double>, label int")
+    whole = cl.silhouette_squared(df, "x", "label").first()[0]
+    monkeypatch.setattr(cl, "CLUSTER_BLOCK", 5)
+    assert cl.silhouette_squared(df, "x", "label").first()[0] == pytest.approx(whole, abs=1e-9)
+    assert whole == pytest.approx(silhouette(points, labels, 2), abs=1e-9)
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(0, 200)]
     star = [(1000, 1000 + i) for i in range(1, 300)]

@@ -4,35 +4,31 @@ from __future__ import annotations
 
 import math
 import sys
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.operators.kmeans import RESTARTS, fit_kmeans_all, weighted_points
 from tradewind.operators.stats import median_impute
 from tradewind.session import materialize
 from tradewind.sources.schemas import FEATURE_COLUMNS
 
-# Seed, restarts and iterations of k-means; cluster number used when none was found.
-SEED = 42
-RESTARTS = 10
-MAX_ITERATIONS = 300
+# Fixed value: cluster number used when none was found.
 FALLBACK_K = 4
 
 # Helpers of the task functions travel with them: tasks need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-VECTOR, WEIGHT = "features", "weight"
-POINTS_PER_PARTITION = 100_000
-PARALLEL_FITS = 8
+VECTOR = "features"
+#: Clusters that are carried together beside each row.
+CLUSTER_BLOCK = 500
 
 
 def feature_matrix(df: DataFrame, key: str, columns: list[str] = FEATURE_COLUMNS) -> DataFrame:
@@ -63,53 +59,6 @@ def assemble(df: DataFrame, columns: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol=VECTOR).transform(df)
 
 
-def weighted_points(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Distinct vectors with their number of rows.
-
-    Fitting on them gives the same objective as fitting on all rows, and reads
-    each repeated vector once per iteration. Few points are kept in few
-    partitions, since each iteration runs one task per partition.
-    """
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
-    points = materialize(assemble(counted, columns).select(VECTOR, WEIGHT), "vectors")
-    wanted = math.ceil(points.count() / POINTS_PER_PARTITION)
-    return points.coalesce(max(1, wanted)).persist()
-
-
-def fit_kmeans_all(
-    points: DataFrame, numbers: list[int], restarts: int = RESTARTS, seed: int = SEED, parallel: int = PARALLEL_FITS
-) -> dict[int, KMeansModel]:
-    """Per cluster number, the best of several starts by inertia, on :func:`weighted_points`.
-
-    The starts are independent of each other and are submitted side by side.
-    """
-
-    def fit(task: tuple[int, int]) -> KMeansModel:
-        k, start = task
-        return KMeans(
-            featuresCol=VECTOR, weightCol=WEIGHT, predictionCol="cluster", k=k, seed=seed + start, maxIter=MAX_ITERATIONS
-        ).fit(points)
-
-    tasks = [(k, start) for k in numbers for start in range(restarts)]
-    best: dict[int, KMeansModel] = {}
-    with ThreadPoolExecutor(parallel) as pool:
-        for (k, _), model in zip(tasks, pool.map(fit, tasks)):
-            if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-                best[k] = model
-    return best
-
-
-def fit_kmeans(points: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED) -> KMeansModel:
-    return fit_kmeans_all(points, [k], restarts, seed)[k]
-
-
-def centroid_order(model: KMeansModel) -> list[int]:
-    """Number of each fitted cluster when the clusters are ordered by centroid."""
-    centers = [tuple(c) for c in model.clusterCenters()]
-    ranked = sorted(range(len(centers)), key=lambda i: centers[i])
-    return [ranked.index(i) for i in range(len(centers))]
-
-
 def squared_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
 
@@ -132,10 +81,14 @@ def cluster_statistics(df: DataFrame, features: str, label: str, weight: str | N
     return grouped.select("label", "n", vector_to_array("s.mean").alias("centroid"), norms.alias("norms"))
 
 
-def with_centroid(df: DataFrame, features: str, label: str) -> DataFrame:
-    """Every row with its squared distance to the centroid of its cluster."""
+def with_centroid(df: DataFrame, features: str, label: str, fitted: bool = True) -> DataFrame:
+    """Every row with its squared distance to the centroid of its cluster.
+
+    A fitted number of clusters is one small row each, sent to every task, so that
+    rows are not shuffled on a handful of keys; density clusters are joined.
+    """
     centroids = cluster_statistics(df, features, label).select(F.col("label").alias(label), "centroid")
-    return df.join(centroids, label).withColumn("d2", squared_distance(F.col(features), F.col("centroid")))
+    return df.join(F.broadcast(centroids) if fitted else centroids, label).withColumn("d2", squared_distance(F.col(features), F.col("centroid")))
 
 
 def inertia(df: DataFrame, features: str, label: str) -> DataFrame:
@@ -176,20 +129,32 @@ def silhouette_squared(df: DataFrame, features: str, label: str, weight: str | N
     The mean squared distance of a row to a cluster follows from the cluster's
     size, centroid and sum of squared norms, so no pair of rows is formed.
     """
-    clusters = cluster_statistics(df, features, label, weight)
-    table = clusters.agg(F.collect_list(F.struct("label", "n", "centroid", "norms"))).scalar()
+    clusters = materialize(cluster_statistics(df, features, label, weight), "clusters")
+    blocks = max(1, math.ceil(clusters.count() / CLUSTER_BLOCK))
+    clusters = clusters.withColumn("block", F.pmod(F.xxhash64("label"), F.lit(blocks)).cast("int"))
+    table = clusters.groupBy("block").agg(F.collect_list(F.struct("label", "n", "centroid", "norms")).alias("clusters"))
     x = F.col(features)
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
     count = F.col(weight) if weight else F.lit(1.0)
     rows = df.select(F.col(label).alias("label"), x.alias("x"), dot(x, x).alias("xx"), count.alias("w"))
-    rows = rows.withColumn("clusters", table)
     mean = lambda c: F.col("xx") - 2 * dot(F.col("x"), c["centroid"]) + c["norms"] / c["n"]
     means = F.transform("clusters", lambda c: F.struct(c["label"].alias("label"), c["n"].alias("n"), mean(c).alias("d")))
-    rows = rows.select("label", "w", means.alias("means"))
     own = F.filter("means", lambda m: m["label"] == F.col("label"))[0]
     other = F.array_min(F.transform(F.filter("means", lambda m: m["label"] != F.col("label")), lambda m: m["d"]))
-    a = own["d"] * own["n"] / (own["n"] - 1)
-    rows = rows.select("w", own["n"].alias("n"), F.when(own["n"] > 1, a).alias("a"), other.alias("b"))
+    if blocks == 1:
+        rows = rows.withColumn("clusters", table.select("clusters").scalar()).select("label", "w", means.alias("means"))
+        rows = rows.select("w", own["n"].alias("n"), own["d"].alias("d"), other.alias("b"))
+    else:
+        # Every row sees the clusters block by block; what it keeps of a block is its own cluster and the nearest other.
+        rows = rows.withColumn("id", F.monotonically_increasing_id())
+        rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(table, "block")
+        rows = rows.select("id", "label", "w", means.alias("means"))
+        rows = rows.select("id", "w", F.get(F.filter("means", lambda m: m["label"] == F.col("label")), F.lit(0)).alias("own"), other.alias("b"))
+        rows = rows.groupBy("id").agg(
+            F.first("w").alias("w"), F.max("own.n").alias("n"), F.max("own.d").alias("d"), F.min("b").alias("b")
+        )
+    a = F.col("d") * F.col("n") / (F.col("n") - 1)
+    rows = rows.select("w", "n", F.when(F.col("n") > 1, a).alias("a"), "b")
     return rows.agg(F.try_divide(F.sum(F.col("w") * _silhouette()), F.sum("w")).alias("silhouette_squared"))
 
 
@@ -268,11 +233,10 @@ def find_optimal_k(df: DataFrame, columns: list[str], max_k: int = 8, restarts:
     """
     points = weighted_points(df, columns)
     rows = []
-    for k, model in fit_kmeans_all(points, list(range(2, max_k + 1)), restarts).items():
-        assigned = model.transform(points).select(vector_to_array(VECTOR).alias("x"), "cluster", WEIGHT)
-        score = silhouette_squared(assigned, "x", "cluster", WEIGHT).first()["silhouette_squared"]
-        rows.append((k, float(model.summary.trainingCost), float(score)))
-    points.unpersist()
+    for k, fit in fit_kmeans_all(points, list(range(2, max_k + 1)), restarts).items():
+        assigned = kmeans_assign(points, F.col("x"), fit.centroids, "cluster")
+        score = silhouette_squared(assigned, "x", "cluster", "weight").first()["silhouette_squared"]
+        rows.append((k, float(fit.inertia), float(score or 0.0)))
     best = max(rows, key=lambda r: (r[2], -r[0]))[0] if rows else FALLBACK_K
     return KSearch(df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_squared double"), best)
 

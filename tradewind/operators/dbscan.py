@@ -7,17 +7,24 @@ rows join the first cluster that has a dense row within ``eps``, or are noise.
 How the work is split:
 
 * equal vectors are one point with a weight, so copies cost nothing;
-* points fall into grid cells of side ``eps`` on the widest features, and only
-  neighbouring cells are compared;
+* fine cells of side ``eps`` / sqrt(number of features) hold points that are all
+  within ``eps`` of each other. A fine cell with ``min_samples`` rows is dense as
+  a whole: its points are not counted and count as one node of the cluster graph;
+* only the other points are counted, against coarse cells of side ``eps`` on the
+  widest features and their neighbours;
+* nodes (one point for each dense fine cell, and single dense points) are linked
+  first. Only where a neighbourhood still holds several components are all of its
+  dense points compared, and only across components;
 * a cell with many points is split into blocks of bounded size, and a task sees
   one block of a cell beside one block of each neighbouring cell. Tasks return
-  counts, or one link per point; pairs of points never leave them;
+  counts or links; pairs of points never leave them;
 * links are joined to clusters by repeated star contraction, each round being
   written to the shared folder.
 """
 
 from __future__ import annotations
 
+import math
 import sys
 from functools import reduce
 from itertools import product
@@ -53,18 +60,23 @@ def dbscan(
 ) -> DataFrame:
     """``key``, ``is_core`` and ``dbscan_cluster`` (0, 1, … by smallest core key; −1 for noise)."""
     points = _points(df, key, columns, eps, block_points)
-    counted = _neighbour_counts(points, eps)
-    flagged = materialize(points.join(counted, "vid").withColumn("is_core", F.col("neighbours") >= min_samples), "core")
+    dense = F.col("fine_weight") >= min_samples
+    counted = _neighbour_counts(points.where(~dense), points, eps)
+    core_flag = dense | F.coalesce(F.col("neighbours") >= min_samples, F.lit(False))
+    flagged = points.join(counted, "vid", "left").withColumn("is_core", core_flag)
+    flagged = materialize(flagged.withColumn("node", F.when(dense, F.col("fine_vid")).otherwise(F.col("vid"))), "core")
     core = flagged.where("is_core")
 
-    links = _core_links(core, flagged, eps)
-    roots = core.select("vid").join(connected_components(links), "vid", "left").select(
-        "vid", F.coalesce("root", "vid").alias("root")
-    )
-    numbers = global_row_number(roots.select("root").distinct(), ["root"], "number")
-    labelled = materialize(
-        roots.join(numbers, "root").select("vid", (F.col("number") - 1).cast("int").alias("cluster")), "clusters"
+    near = connected_components(_core_links(core.where("vid = node"), flagged, eps)).select(
+        F.col("vid").alias("node"), F.col("root").alias("part")
     )
+    parts = materialize(core.join(near, "node", "left").withColumn("part", F.coalesce("part", "node")), "parts")
+    joined = connected_components(_cross_links(parts, eps)).select(F.col("vid").alias("part"), "root")
+    roots = parts.join(joined, "part", "left").select("vid", F.coalesce("root", "part").alias("root"))
+    # A part's root is its least node, which may not be the least point of the cluster.
+    smallest = roots.groupBy("root").agg(F.min("vid").alias("first"))
+    numbers = global_row_number(smallest, ["first"], "number").select("root", (F.col("number") - 1).cast("int").alias("cluster"))
+    labelled = materialize(roots.join(numbers, "root").select("vid", "cluster"), "clusters")
     border = _border_clusters(flagged, labelled, eps)
     clusters = labelled.unionByName(border)
 
@@ -76,17 +88,24 @@ def dbscan(
 
 
 def _points(df: DataFrame, key: str, columns: list[str], eps: float, block_points: int) -> DataFrame:
-    """Distinct vectors with weight, grid cell and block number within the cell."""
+    """Distinct vectors, numbered by their smallest key of any type, with weight, coarse cell, block, and fine cell's weight and first point."""
     vector = F.array(*[F.col(c).cast("double") for c in columns])
-    points = df.groupBy(vector.alias("x")).agg(F.min(key).alias("vid"), F.count(F.lit(1)).alias("weight"))
+    points = df.groupBy(vector.alias("x")).agg(F.min(key).alias("_key"), F.count(F.lit(1)).alias("weight"))
+    points = global_row_number(points, ["_key", "x"], "vid").drop("_key")
     ranges = df.agg(*[(F.max(c) - F.min(c)).cast("double").alias(c) for c in columns]).first()
     widest = sorted(range(len(columns)), key=lambda i: -(ranges[columns[i]] or 0.0))[:GRID_FEATURES]
+    varying = [i for i in range(len(columns)) if ranges[columns[i]]]
     # Always three numbers, so that every cell has 27 neighbours; an unused one is 0.
     places = [F.floor(F.col("x")[i] / F.lit(eps)).cast("long") for i in widest]
     cell = F.array(*places, *[F.lit(0).cast("long")] * (GRID_FEATURES - len(places)))
-    points = materialize(points.withColumn("cell", cell), "points")
+    # A little less than the exact side, so that rounding cannot put two points further apart than eps into one cell.
+    side = eps / math.sqrt(max(1, len(varying))) * (1 - 1e-9)
+    fine = F.array(*[F.floor(F.col("x")[i] / F.lit(side)).cast("long") for i in varying]).cast("array<bigint>")
+    points = materialize(points.withColumn("cell", cell).withColumn("fine", fine), "points")
     sizes = points.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_points).cast("int").alias("blocks"))
-    return points.join(sizes, "cell").withColumn("block", F.pmod(F.xxhash64("vid"), F.col("blocks")).cast("int"))
+    inside = points.groupBy("fine").agg(F.sum("weight").alias("fine_weight"), F.min("vid").alias("fine_vid"))
+    points = points.join(sizes, "cell").join(inside, "fine").drop("fine")
+    return materialize(points.withColumn("block", F.pmod(F.xxhash64("vid"), F.col("blocks")).cast("int")), "points")
 
 
 def _neighbouring(cell: Column) -> Column:
@@ -120,7 +139,7 @@ def _paired(left: DataFrame, right: DataFrame, everyone: DataFrame):
 
 def _carried(df: DataFrame) -> list[Column]:
     """Columns a task needs, renamed to themselves so that both sides of a group differ."""
-    return [F.col(c).alias(c) for c in ("vid", "x", "weight", "cluster") if c in df.columns]
+    return [F.col(c).alias(c) for c in ("vid", "x", "weight", "cluster", "part") if c in df.columns]
 
 
 def _within(a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:
@@ -142,7 +161,9 @@ def _empty(**columns: str) -> pd.DataFrame:
     return pd.DataFrame({name: pd.Series(dtype=kind) for name, kind in columns.items()})
 
 
-def _neighbour_counts(points: DataFrame, eps: float) -> DataFrame:
+def _neighbour_counts(some: DataFrame, points: DataFrame, eps: float) -> DataFrame:
+    """Rows within ``eps`` of each of some points."""
+
     def count(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return _empty(vid="int64", n="int64")
@@ -151,7 +172,7 @@ def _neighbour_counts(points: DataFrame, eps: float) -> DataFrame:
             total += near @ weights[part]
         return pd.DataFrame({"vid": left["vid"], "n": total})
 
-    partial = _paired(points, points, points).applyInPandas(count, "vid long, n long")
+    partial = _paired(some, points, points).applyInPandas(count, "vid long, n long")
     return partial.groupBy("vid").agg(F.sum("n").alias("neighbours"))
 
 
@@ -179,6 +200,29 @@ def _core_links(core: DataFrame, everyone: DataFrame, eps: float) -> DataFrame:
     return _paired(core, core, everyone).applyInPandas(link, "u long, v long")
 
 
+def _cross_links(parts: DataFrame, eps: float) -> DataFrame:
+    """Links between the parts of dense points that come within ``eps``, where a neighbourhood holds several parts."""
+
+    def link(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return _empty(u="int64", v="int64")
+        a, b = left["part"].to_numpy(), right["part"].to_numpy()
+        found = []
+        for part, near in _chunks(left, right, eps):
+            i, j = np.nonzero(near & (a[:, None] != b[part][None, :]))
+            if len(i):
+                found.append(np.unique(np.stack([a[i], b[part][j]], axis=1), axis=0))
+        if not found:
+            return _empty(u="int64", v="int64")
+        return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["u", "v"])
+
+    cells = parts.groupBy("cell").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    around = cells.select(F.col("cell").alias("home"), F.explode(_neighbouring(F.col("cell"))).alias("cell")).join(cells, "cell")
+    several = around.groupBy("home").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
+    left = parts.join(several.select(F.col("home").alias("cell")), "cell", "left_semi")
+    return _paired(left, parts, parts).applyInPandas(link, "u long, v long")
+
+
 def _border_clusters(flagged: DataFrame, labelled: DataFrame, eps: float) -> DataFrame:
     """First cluster within reach of each point that is not dense."""
 
@@ -198,7 +242,7 @@ def _border_clusters(flagged: DataFrame, labelled: DataFrame, eps: float) -> Dat
     return partial.groupBy("vid").agg(F.min("cluster").alias("cluster"))
 
 
-def connected_components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_components(links: DataFrame) -> DataFrame:
     """(``vid``, ``root``): the smallest node reachable over links ``u``–``v``.
 
     Alternates two contractions: every node links its larger neighbours to its
@@ -210,12 +254,11 @@ def connected_components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
         links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "links"
     )
     state = _fingerprint(links)
-    for _ in range(max_rounds):
+    while True:
         links = materialize(_small_star(_large_star(links)), "links")
         previous, state = state, _fingerprint(links)
         if state == previous:
             return links.select(F.col("u").alias("vid"), F.col("v").alias("root"))
-    raise RuntimeError("components did not settle")
 
 
 def _large_star(links: DataFrame) -> DataFrame:

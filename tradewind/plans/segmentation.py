@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.operators import clustering as cl
 from tradewind.operators.dbscan import RUN_EPS, RUN_MIN_SAMPLES, dbscan
+from tradewind.operators.kmeans import RESTARTS, fit_kmeans, weighted_points
 from tradewind.operators.segments import segment_labels, segment_summary
-from tradewind.session import materialize
+from tradewind.session import materialize, run_folder
 from tradewind.sources.models import SegmentationModel, bundle, predict_segment
 from tradewind.sources.schemas import FEATURE_COLUMNS, SEGMENT_COLUMNS
 from tradewind.sources.sinks import csv_export
@@ -26,49 +26,46 @@ class Segmentation:
 
 
 def run_segmentation(
-    features: DataFrame, key: str = "customer_sk", max_k: int = 8, k: int | None = None, restarts: int = cl.RESTARTS
+    features: DataFrame, key: str = "customer_sk", max_k: int = 8, k: int | None = None, restarts: int = RESTARTS
 ) -> Segmentation:
     """From RFM features to labelled segments.
 
-    ``k`` skips the search for a cluster number.
+    ``k`` skips the search for a cluster number. Intermediates are removed at
+    the end; the segments stay in the shared folder.
     """
     spark = features.sparkSession
-    features = materialize(features, "rfm-features")
-    matrix = materialize(cl.feature_matrix(features, key), "matrix")
-    stats = cl.scaling(matrix, FEATURE_COLUMNS)
-    z = [cl.z_name(c) for c in FEATURE_COLUMNS]
-    scaled = materialize(cl.standardize(matrix, FEATURE_COLUMNS, stats), "scaled")
-
-    if k is None:
-        search = cl.find_optimal_k(scaled, z, max_k, restarts)
-        scores, k = search.scores, search.best_k
-    else:
-        scores = spark.createDataFrame([], "k int, inertia double, silhouette_squared double")
-    points = cl.weighted_points(scaled, z)
-    kmeans = cl.fit_kmeans(points, k, restarts)
-    points.unpersist()
-    projection = cl.fit_pca(scaled, z)
-    assigned = kmeans.transform(cl.assemble(scaled, z)).select(vector_to_array(cl.VECTOR).alias("x"), "cluster")
-    quality = {
-        "silhouette_squared": cl.silhouette_squared(assigned, "x", "cluster").first()[0],
-        "davies_bouldin": cl.davies_bouldin(assigned, "x", "cluster").first()[0],
-    }
-    model = bundle(spark, FEATURE_COLUMNS, stats, kmeans, projection, quality, scaled.count())
-    clusters = predict_segment(model, matrix).select(key, "kmeans_cluster", "pca_1", "pca_2")
-    density = dbscan(scaled, key, z, RUN_EPS, RUN_MIN_SAMPLES).select(key, "dbscan_cluster")
-    joined = materialize(features.join(clusters, key).join(density, key), "segments")
+    with run_folder(spark):
+        features = materialize(features, "rfm-features")
+        matrix = materialize(cl.feature_matrix(features, key), "matrix")
+        stats = cl.scaling(matrix, FEATURE_COLUMNS)
+        z = [cl.z_name(c) for c in FEATURE_COLUMNS]
+        scaled = materialize(cl.standardize(matrix, FEATURE_COLUMNS, stats), "scaled")
+
+        if k is None:
+            search = cl.find_optimal_k(scaled, z, max_k, restarts)
+            scores, k = search.scores, search.best_k
+        else:
+            scores = spark.createDataFrame([], "k int, inertia double, silhouette_squared double")
+        kmeans = fit_kmeans(weighted_points(scaled, z), k, restarts)
+        projection = cl.fit_pca(scaled, z)
+        assigned = cl.kmeans_assign(scaled.select(F.array(*z).alias("x")), F.col("x"), kmeans.centroids, "cluster")
+        quality = {
+            "silhouette_squared": cl.silhouette_squared(assigned, "x", "cluster").first()[0],
+            "davies_bouldin": cl.davies_bouldin(assigned, "x", "cluster").first()[0],
+        }
+        model = bundle(spark, FEATURE_COLUMNS, stats, kmeans, projection, quality, scaled.count())
+        clusters = predict_segment(model, matrix).select(key, "kmeans_cluster", "pca_1", "pca_2")
+        density = dbscan(scaled, key, z, RUN_EPS, RUN_MIN_SAMPLES).select(key, "dbscan_cluster")
+        joined = materialize(features.join(clusters, key).join(density, key), "segments", keep=True)
     return Segmentation(segment_labels(joined), scores, model, projection.explained)
 
 
 def project_centroids(model: SegmentationModel, features: list[str] = FEATURE_COLUMNS) -> DataFrame:
     """Centroids of the fitted clusters on the principal components."""
-    kmeans = model.pipeline.stages[2]
     names = [cl.z_name(c) for c in features]
-    rows = [tuple(float(v) for v in center) for center in kmeans.clusterCenters()]
-    spark = model.metadata.sparkSession
-    frame = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names))
-    with_vector = model.pipeline.stages[1].transform(frame)
-    return model.pipeline.stages[3].transform(kmeans.transform(with_vector)).select("kmeans_cluster", "pca_1", "pca_2")
+    centers = model.metadata.select(F.explode("centroids").alias("c"))
+    frame = centers.select(*[F.col("c")[i].alias(n) for i, n in enumerate(names)])
+    return model.pipeline.stages[-1].transform(frame).select("kmeans_cluster", "pca_1", "pca_2")
 
 
 def export_segments(segments: DataFrame, path: str) -> None:
