@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm.decontamination import contaminated
+from tradewind.llm.expected import EXPECTED  # noqa: F401
 from tradewind.llm.fingerprints import fingerprinted
 from tradewind.llm.fm_index import without_earlier_passages
 from tradewind.llm.languages import predicted
@@ -20,7 +21,6 @@ from tradewind.llm.urls import judged
 from tradewind.session import workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-EXPECTED: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

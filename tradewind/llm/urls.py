@@ -122,7 +122,7 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, id_colum
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     base = base.select(
         "*", rule.alias("rule"), verdict.alias("_verdict"), (verdict == "allow").alias("_label"),
-        (F.crc32(F.col("_url").cast("binary")) % 5).alias("_fold"), F.monotonically_increasing_id().alias("_row"),
+        (F.conv(F.substring(F.md5(F.col("_url").cast("binary")), 1, 8), 16, 10).cast("long") % 5).alias("_fold"), F.monotonically_increasing_id().alias("_row"),
     )
     base = written(base, "urls")
     learned = F.col("_label").isNotNull() & (F.col("_fold") != 0)
@@ -140,4 +140,4 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, id_colum
     scored = written(base.join(scores, "_row", "left").withColumn("score", F.coalesce("score", F.lit(0.0))), "scored")
     least = _threshold(scored).scalar()
     method = F.when(F.col("score") >= least, F.lit("allow")).otherwise(F.lit("block"))
-    return scored.select(id_column, "host", "path", "rule", F.coalesce("_verdict", method).alias("verdict"), "score")
+    return scored.select(id_column, "host", "path", "rule", F.coalesce("_verdict", method).alias("verdict"), F.round("score", 6).alias("score"))
