@@ -174,7 +174,8 @@ def removed(
         F.count(F.lit(1)).alias("n"), F.min("content").alias("c0"), F.max("content").alias("c1"), F.min("id0").alias("least"), F.max("id0").alias("most")
     )
     anchors = anchors.where("least < most" if earlier else "n > 1").select("anchor", (F.col("c0") == F.col("c1")).alias("one"), "least")
-    met = written(each.join(anchors, "anchor"), "met")
+    # Written first: read back, both sides of the join are plain shuffles, and the many runs of one anchor may be split.
+    met = written(each.join(written(anchors, "anchors"), "anchor"), "met")
 
     # Contents of the anchors that have several: how often, and which run stands for them.
     contents = met.where("not one").groupBy("anchor", "content").agg(
