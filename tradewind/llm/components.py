@@ -25,7 +25,9 @@ def _star(edges: DataFrame, both: bool) -> DataFrame:
     else:
         around = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    joined = around.join(least, "u")
+    # A computed key hides that the aggregate is partitioned already: both sides are shuffled for the join, so a hub can be split.
+    keyed = least.select((F.col("u") + F.lit(0)).alias("k"), "m")
+    joined = around.join(keyed, F.col("u") == F.col("k"))
     if both:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:

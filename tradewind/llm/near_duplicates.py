@@ -175,7 +175,7 @@ def near_duplicate_groups(docs: DataFrame, percent: int = 80, k: int = 5, block:
 
     banded = classes.select(F.explode("bands").alias("band"), F.col("node").alias("u"))
     stars = banded.groupBy("band").agg(F.min("u").alias("v"), F.max("u").alias("w")).where("v <> w").select("band", "v")
-    candidates = components(banded.join(stars, "band").where("u <> v").select("u", "v"))
+    candidates = components(banded.join(written(stars, "stars"), "band").where("u <> v").select("u", "v"))
 
     # Members of every group, its least class included, with the number of blocks the group is cut into.
     members = candidates.union(candidates.select(F.col("v").alias("u"), "v").distinct())
