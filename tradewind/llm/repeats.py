@@ -204,7 +204,9 @@ def removed(
     jobs = jobs.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "anchor", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "content", "id0", "windows", "symbols"
     )
-    jobs = jobs.repartition("anchor", "a", "b").sortWithinPartitions("anchor", "a", "b")
+    # A given number of partitions is not merged by size: comparing takes far longer than reading what it compares.
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    jobs = jobs.repartition(partitions, "anchor", "a", "b").sortWithinPartitions("anchor", "a", "b")
     run, schema = _compared(compare, shard)
     covered = written(jobs.mapInArrow(run, schema), "covered")
 
