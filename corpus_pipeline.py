@@ -32,7 +32,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     groups = near_duplicate_groups(docs.select("doc_id", "text"), percent=80)
     copies = groups.where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_copy_")).distinct()
-    return docs.join(copies, docs["doc_id"].cast("long") == F.col("_copy_"), "left_anti")
+    return docs.join(copies, docs["doc_id"].cast("long") == copies["_copy_"], "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
