@@ -172,7 +172,7 @@ def train(docs: DataFrame, per_language: int = 300, window: int = 1024, language
     counted = chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
     if not counted:
         return None
-    reach = [(r["lang"], -(1 << 63) + int(min(1.0, 3 * per_language / r["n"]) * ((1 << 64) - 1))) for r in counted]
+    reach = [(r["lang"], min((3 * per_language << 64) // r["n"], 1 << 64) - (1 << 63) - 1) for r in counted]
     limits = docs.sparkSession.createDataFrame(reach, "lang string, most long")
     near = chosen.join(F.broadcast(limits), "lang").where(order <= F.col("most"))
     narrow = near.select("lang", "id", order.alias("h"), stretch.alias("stretch"))
