@@ -8,7 +8,7 @@ from tradewind.llm.pseudonyms import Pseudonyms, luhn, permute, pseudonymised, p
 
 VALUES = {
     "card": ["4111111111111111", "4111 1111 1111 1111", "3782-822463-10005", "5500000000000004"],
-    "phone": ["+1 (988) 555-2485", "212-555-0147", "(212) 555-0147", "+49 30 1234567"],
+    "phone": ["+1 (988) 555-2485", "+1 (152) 555-8590", "(012) 155-0147", "212-555-0147", "(212) 555-0147", "+49 30 1234567"],
     "ssn": ["078-05-1120", "899-99-9999"],
     "ip": ["70.123.182.155", "0.0.0.0", "255.255.255.255"],
     "iban": ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"],

@@ -94,12 +94,22 @@ def _national(n: int) -> str:
     return f"{area + 200}{rest // 10_000 + 200}{rest % 10_000:04d}"
 
 
+def _in_plan(digits: str) -> bool:
+    return digits[0] not in "01" and digits[3] not in "01"
+
+
 def _phone(text: str, move: Callable) -> str | None:
     digits = _digits(text)
     if len(digits) == 10 or len(digits) == 11 and digits[0] == "1":
         own = digits[-10:]
-        if own[0] in "01" or own[3] in "01":
-            return None
+        if not _in_plan(own):
+            # Outside the numbering plan, only the layout tells a telephone number; it moves among others like it.
+            if text[0] not in "+(" and len(digits) == 10:
+                return None
+            while True:
+                own = f"{move(int(own), 10**10, 'phone-other'):010d}"
+                if not _in_plan(own):
+                    return _into(text, digits[:-10] + own)
         n = ((int(own[:3]) - 200) * 800 + int(own[3:6]) - 200) * 10_000 + int(own[6:])
         return _into(text, digits[:-10] + _national(move(n, 800 * 800 * 10_000, "phone")))
     if not text.startswith("+") or not 8 <= len(digits) <= 15 or digits[0] == "1":
