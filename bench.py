@@ -20,7 +20,7 @@ HEADLINE = [
     "monthly_sales", "agg_product_performance", "rfm_features", "category_revenue_top", "geographic_sales",
     "category_satisfaction", "delivery_performance", "product_list", "sequence_compliance", "resequence_items",
     "missing_report", "check_unique_composite", "constraint_registry", "value_counts", "monthly_resample",
-    "segment_profile", "segment_profile_medians", "silhouette_squared", "davies_bouldin", "pca_project", "kmeans_fit",
+    "segment_profile", "segment_profile_medians", "silhouette_squared", "davies_bouldin", "pca_project", "kmeans_fit", "find_optimal_k", "dbscan", "segmentation_run", "warehouse_run",
 ]
 
 

@@ -41,6 +41,11 @@ def global_row_number(
     if not unique:
         df = with_row_position(df)
         order.append(F.col(_POS))
+    return _numbered(df, columns, order, name)[0]
+
+
+def _numbered(df: DataFrame, columns: list[str], order: list[Column], name: str) -> tuple[DataFrame, int]:
+    """The numbered rows, and how many there are."""
     ranged = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -48,10 +53,10 @@ def global_row_number(
         .withColumn(_SEQ, F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)))
     )
     table = materialize(ranged.select(*columns, _PART, _SEQ), "ranked")
-    offsets = _partition_offsets(table, F.count(F.lit(1)))
+    offsets, total = _partition_offsets(table, F.count(F.lit(1)))
     return table.join(F.broadcast(offsets), _PART).select(
         *columns, (F.col(_OFFSET) + F.col(_SEQ) + 1).alias(name)
-    )
+    ), total
 
 
 def surrogate_key(df: DataFrame, name: str, natural_key: list[str], ties: list[str] = (), unique: bool = True) -> DataFrame:
@@ -119,10 +124,14 @@ def quantile_score_rank(rank: Column | str, total: Column | str, bins: int = 5)
 
 
 def score_by_rank(df: DataFrame, column: str, tie: str, name: str, bins: int = 5) -> DataFrame:
-    """Quantile score of a value whose ties are broken by a unique column."""
-    ranked = global_row_number(df, [F.col(column).asc_nulls_last(), F.col(tie).asc()], "_rank")
-    total = F.lit(ranked.count())
-    return ranked.withColumn(name, quantile_score_rank("_rank", total, bins)).drop("_rank")
+    """Quantile score of a value whose ties are broken by a unique column.
+
+    Only value and tie column are sorted and written; the score is joined back by the tie column.
+    """
+    narrow = df.select(tie, column)
+    ranked, total = _numbered(narrow, narrow.columns, [F.col(column).asc_nulls_last(), F.col(tie).asc()], "_rank")
+    scores = ranked.select(tie, quantile_score_rank("_rank", F.lit(total), bins).alias(name))
+    return df.join(scores, tie).select(*df.columns, name)
 
 
 def score_by_value(df: DataFrame, column: str, name: str, labels: list[int] = (5, 4, 3, 2, 1)) -> DataFrame:
@@ -142,11 +151,11 @@ def score_by_value(df: DataFrame, column: str, name: str, labels: list[int] = (5
     return df.withColumn(name, F.when(value.isNotNull(), score.otherwise(F.lit(labels[-1]))).cast("int"))
 
 
-def _partition_offsets(table: DataFrame, size: Column) -> DataFrame:
-    """Rows in earlier partitions, one row per partition (bounded by their number)."""
+def _partition_offsets(table: DataFrame, size: Column) -> tuple[DataFrame, int]:
+    """Rows in earlier partitions, one row per partition (bounded by their number), and rows in all."""
     sizes = sorted(table.groupBy(_PART).agg(size.alias("n")).collect())
     offsets, total = [], 0
     for part, n in sizes:
         offsets.append((part, total))
         total += n
-    return table.sparkSession.createDataFrame(offsets, f"{_PART} int, {_OFFSET} long")
+    return table.sparkSession.createDataFrame(offsets, f"{_PART} int, {_OFFSET} long"), total

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tradewind.functions import calendar as cal
 from tradewind.functions import retail
 from tradewind.operators.ranking import global_row_number
+from tradewind.session import materialize
 from tradewind.sources.schemas import MARTS
 
 
@@ -179,9 +180,10 @@ def product_performance(
     fanout: bool = True,
 ) -> DataFrame:
     """Product metrics with revenue and volume ranks; a zero rating becomes NULL."""
-    metrics = product_metrics(dim_product, recent_items(items, window_months), reviews, fanout)
-    ranked = with_rank(metrics, "last_12_months_revenue", "product_sk", "revenue_rank")
-    ranked = with_rank(ranked, "last_12_months_items", "product_sk", "volume_rank")
+    metrics = materialize(product_metrics(dim_product, recent_items(items, window_months), reviews, fanout), "metrics")
+    ranked = metrics
+    for measure, name in [("last_12_months_revenue", "revenue_rank"), ("last_12_months_items", "volume_rank")]:
+        ranked = ranked.join(with_rank(metrics.select("product_sk", measure), measure, "product_sk", name).drop(measure), "product_sk")
     rows = ranked.withColumns(
         {
             "product_perf_sk": F.col("product_sk"),  # one row per product
