@@ -46,7 +46,7 @@ def pseudonymisation(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 2048 tokens, neighbours together."""
+    """Pieces of documents with their token ids, in sequences of 2048 tokens, neighbours together."""
     return packed(docs)
 
 

@@ -82,3 +82,13 @@ def test_neighbours_share_words(spark):
     got = sorted(packed(spark.createDataFrame(rows, DOCS), 256).collect(), key=lambda p: (p["sequence_id"], p["offset"]))
     kinds = [p["doc_id"] % 2 for p in got if p["start"] == 0]
     assert sum(a != b for a, b in zip(kinds, kinds[1:])) < 40
+
+
+def test_sequences_hold_the_token_ids(spark):
+    rows = [(i, t) for i, t in enumerate(ODD)] + [(100, None), (101, "word " * 3_000), (102, "日本語" * 400)]
+    pieces = packed(spark.createDataFrame(rows, DOCS).repartition(3), 64).collect()
+    line = [x for p in sorted(pieces, key=lambda p: (p["sequence_id"], p["offset"])) for x in p["ids"]]
+    want = {d: [*ids, 1] for (d, _), ids in zip(rows, reference_ids([t for _, t in rows]))}
+    docs = sorted((p["sequence_id"], p["offset"], p["doc_id"]) for p in pieces if p["start"] == 0)
+    assert line == [x for _, _, d in docs for x in want[d]] and len(docs) == len(rows)
+    assert all(p["ids_crc32"] == zlib.crc32(np.array(p["ids"], "<u4").tobytes()) for p in pieces)

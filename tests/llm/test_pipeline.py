@@ -39,3 +39,4 @@ def test_run(spark):
     got = corpus_pipeline.run(spark, SF)
     whole = got.groupBy("doc_id").agg(F.sum("length").alias("n"), F.first("doc_tokens").alias("m"))
     assert whole.count() > 100 and whole.where("n <> m").count() == 0
+    assert got.where(F.size("ids") != F.col("length")).count() == 0 and got.agg(F.sum(F.size("ids"))).first()[0] > 0

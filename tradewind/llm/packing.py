@@ -187,29 +187,38 @@ def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cut(length: int):
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    schema = pa.schema([(n, pa.int64()) for n in names] + [("ids", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, tokens, place, data = (batch.column(i) for i in range(4))
-            rows: list[tuple] = []
-            for i, (d, n, p) in enumerate(zip(doc.to_pylist(), tokens.to_pylist(), place.to_pylist())):
-                raw = data[i].as_buffer()
-                ids = np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype("<u4")
-                at = 0
-                while at < n:
-                    sequence, offset = divmod(p + at, length)
-                    size = min(length - offset, n - at)
-                    rows.append((d, at, size, zlib.crc32(ids[at : at + size].tobytes()), n, sequence, offset))
-                    at += size
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)] or [pa.array([], pa.int64())] * 7, names=names)
-
-    return run, ", ".join(f"{n} long" for n in names)
+            for first in range(0, batch.num_rows, 500):
+                doc, tokens, place, data = (batch.column(i).slice(first, 500) for i in range(4))
+                rows: list[tuple] = []
+                lines = [np.zeros(0, "<u4")]
+                for i, (d, n, p) in enumerate(zip(doc.to_pylist(), tokens.to_pylist(), place.to_pylist())):
+                    raw = data[i].as_buffer()
+                    ids = np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype("<u4")
+                    lines.append(ids)
+                    at = 0
+                    while at < n:
+                        sequence, offset = divmod(p + at, length)
+                        size = min(length - offset, n - at)
+                        rows.append((d, at, size, zlib.crc32(ids[at : at + size].tobytes()), n, sequence, offset))
+                        at += size
+                # Pieces follow each other without a gap, so their ids are the documents' lines end to end.
+                ends = np.cumsum([0] + [r[2] for r in rows]).astype(np.int32)
+                pieces = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lines).astype(np.int32)))
+                columns = [pa.array(c, pa.int64()) for c in zip(*rows)] or [pa.array([], pa.int64())] * 7
+                yield pa.RecordBatch.from_arrays([*columns, pieces], schema=schema)
+
+    return run, ", ".join(f"{n} long" for n in names) + ", ids array<int>"
 
 
 def packed(docs: DataFrame, length: int = 2048, tokenizer: str | None = None, end: int = 1) -> DataFrame:
-    """Rows (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset): every piece of every document.
+    """Rows (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids): every piece of every document.
 
-    A document is its tokens and the id ``end``; its pieces follow each other in neighbouring sequences of ``length`` tokens, of
+    ``ids`` are the piece's token ids, ``ids_crc32`` the CRC of them as 32-bit little-endian numbers; a sequence is the ids of its
+    pieces in the order of ``offset``. A document is its tokens and the id ``end``; its pieces follow each other in neighbouring sequences of ``length`` tokens, of
     which only the very last may be short. ``tokenizer`` is the path of a byte-level vocabulary that all executors can read (the
     public 50k one by default). A null or empty text is the end token alone; repeated rows are packed again; a null doc_id stays
     null; other columns are ignored; an empty table gives no rows.

@@ -69,7 +69,7 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(table(spark, sf_dir, "documents"))
+    return packed(table(spark, sf_dir, "documents")).drop("ids")
 
 
 @query
