@@ -4,6 +4,7 @@ import numpy as np
 from brute import words
 from pyspark.sql import functions as F
 
+from tradewind.llm import decontamination
 from tradewind.llm.arrays import U64
 from tradewind.llm.decontamination import Items, contaminated, decontaminated
 
@@ -84,3 +85,30 @@ def test_tables(spark):
     empty = spark.createDataFrame([], ITEMS)
     assert contaminated(docs, empty).collect() == [] and decontaminated(docs, empty).count() == docs.count()
     assert contaminated(spark.createDataFrame([], DOCS), benchmark).collect() == []
+
+
+def test_blocks_change_no_result(spark, monkeypatch):
+    rng = random.Random(4)
+    common = [f"c{i}" for i in range(12)]
+    item_words = [common[:8] + [f"i{i}_{j}" for j in range(rng.randrange(3, 12))] for i in range(40)]
+    items = [(i, " ".join(w)) for i, w in enumerate(item_words)] + [(0, " ".join(item_words[0])), (50, "two words"), (51, None), (None, "no id here"), (52, " ")]
+    docs = [(-1, None), (-2, ""), (-3, "here are two words in a longer text"), (-4, "two words")]
+    for d in range(200):
+        w = rng.choice(item_words)[:]
+        # Some of the words that fill in stand in other items, in other blocks: their shingles weigh less than those of no item.
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            at = rng.choice([0, len(w) - 1])
+            w[at : at + 1] = rng.choice([["changed"], common[8:], rng.choice(item_words)[6:10]])
+        docs.append((d // 2, " ".join([f"x{d}"] * rng.randrange(4) + common[: rng.randrange(9)] + w)))
+    docs += docs[10:14]
+    columns = ["doc_id", "item_id", "first_word", "n_words", "distance", "similarity"]
+    df, bench = spark.createDataFrame(docs, DOCS).repartition(3).cache(), spark.createDataFrame(items, ITEMS)
+
+    def run():
+        found = sorted(tuple(r[c] for c in columns) for r in contaminated(df, bench).collect())
+        return found, sorted(map(str, decontaminated(df, bench).collect()))
+
+    whole, kept = run()
+    assert len(whole) > 100 and kept and 0.8 <= min(r[5] for r in whole) < 0.9
+    monkeypatch.setattr(decontamination, "BLOCK_ITEMS", 9)
+    assert run() == (whole, kept)

@@ -7,6 +7,10 @@ candidates are verified by the exact weighted Jaccard similarity of the two shin
 
 A window can reach the threshold only if shingles that occur in some item carry that share of its weight and
 of the lightest item's weight; windows that do not are left out before they are fingerprinted, which loses nothing.
+
+A benchmark beyond ``BLOCK_ITEMS`` or ``BLOCK_BYTES`` is searched in blocks, one after another, with the weights of the whole benchmark,
+so the blocks change no result. A block knows the weights of its own shingles; those of other shingles in windows that
+could match are looked up for the few texts that hold such windows.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.arrays import U64, blocks, shingle_hashes
+from tradewind.llm.arrays import U64, blocks, shingle_hashes, unique_by_row, written
 
 BITS, INDEXES = 64, 4
 WIDTH = BITS // INDEXES
@@ -50,6 +54,9 @@ class Items:
     k: int
     least: float
     radius: int
+    #: Items of the whole benchmark, and sorted shingles with the number of its items that hold each; by default the block's own.
+    total: int | None = None
+    counts: tuple[np.ndarray, np.ndarray] | None = None
 
     @classmethod
     def of(cls, rows: list[tuple[int, str]], k: int, least: float, radius: int) -> Items:
@@ -66,15 +73,25 @@ class Items:
         return cls(ids, shingles, np.array(lengths, np.int64), k, least, radius)
 
     @cached_property
-    def vocabulary(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct shingles of the items and their weights; any other shingle weighs ``rare``."""
+    def own(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct shingles of the block's items, and how many of these hold each."""
         each = [np.unique(s) for s in self.shingles]
-        values, counts = np.unique(np.concatenate(each) if each else np.zeros(0, U64), return_counts=True)
-        return values, (1 + np.log(len(self.ids) / counts)).astype(np.float32)
+        return np.unique(np.concatenate(each) if each else np.zeros(0, U64), return_counts=True)
+
+    @cached_property
+    def vocabulary(self) -> tuple[np.ndarray, np.ndarray]:
+        """Shingles and their weights; any other shingle weighs ``rare``."""
+        values, counts = self.counts or self.own
+        return values, (1 + np.log((self.total or len(self.ids)) / counts)).astype(np.float32)
+
+    @cached_property
+    def inside(self) -> np.ndarray:
+        """Whether each shingle of the vocabulary occurs in an item of the block."""
+        return np.isin(self.vocabulary[0], self.own[0])
 
     @cached_property
     def rare(self) -> float:
-        return 1 + math.log(max(1, len(self.ids)))
+        return 1 + math.log(max(1, self.total or len(self.ids)))
 
     @cached_property
     def maybe(self) -> np.ndarray:
@@ -92,7 +109,7 @@ class Items:
         if len(some) and len(known):
             at = np.minimum(np.searchsorted(known, values[some]), len(known) - 1)
             hit = known[at] == values[some]
-            found[some[hit]] = True
+            found[some[hit]] = self.inside[at[hit]]
             out[some[hit]] = weight[at[hit]]
         return out, found
 
@@ -156,13 +173,7 @@ def _row_leaks(items: Items, words, shingles: np.ndarray, weight: np.ndarray, fo
     known, total = (np.concatenate([[0], np.cumsum(x, dtype=np.float64)]) for x in (weight * found, weight))
     n_words = len(words)
     for length, index in items.by_length.items():
-        features = max(1, length - items.k + 1)
-        last = len(shingles) - features
-        if length > n_words or last < 0 or length < items.k <= n_words:
-            continue
-        inside = known[features:] - known[:-features]
-        need = items.least * np.maximum(total[features:] - total[:-features], index.lightest)
-        start = np.flatnonzero(inside >= need * (1 - 1e-6))
+        start, features = _windows(items, index, length, n_words, known, total)
         if not len(start):
             continue
         at = start[:, None] + np.arange(features)
@@ -175,6 +186,16 @@ def _row_leaks(items: Items, words, shingles: np.ndarray, weight: np.ndarray, fo
     return [best[i] for i in sorted(best)]
 
 
+def _windows(items: Items, index: Index, length: int, n_words: int, known: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, int]:
+    """Starts of the windows of a text that can reach the threshold, and their shingles; from running weights of item shingles and of all."""
+    features = max(1, length - items.k + 1)
+    if length > n_words or len(known) - 1 < features or length < items.k <= n_words:
+        return np.zeros(0, np.int64), features
+    inside = known[features:] - known[:-features]
+    need = items.least * np.maximum(total[features:] - total[:-features], index.lightest)
+    return np.flatnonzero(inside >= need * (1 - 1e-6)), features
+
+
 def _short_items(items: Items, words_hash: np.ndarray, row_leaks: list[dict]) -> list[dict]:
     """Items of fewer than k words, which are one shingle: found where all their words stand in a row."""
     from tradewind.llm.arrays import mix, prefix_sums, span_hashes
@@ -214,29 +235,126 @@ def leaks(text: Column, items: Items) -> Column:
     return run.asNondeterministic()(text)
 
 
-def item_blocks(benchmark: DataFrame, k: int = 5, least: float = 0.8, radius: int = 19) -> Iterator[Items]:
-    """The benchmark in blocks of bounded size; each is one pass over the documents.
+def _possible(items: Items):
+    """Texts that could hold an item of the block if every shingle of no item in it weighed 1, the least weight there is.
 
-    Every item is in one block. Null and blank items match nothing; a repeated item is found under each of its ids.
+    With the shingles in such windows that are unknown to the block; texts that hold no window and no short item are left out.
+    """
+    schema = pa.schema([("row", pa.int64()), ("text", pa.string()), ("unknown", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        has_short = bool((items.lengths < items.k).any())
+        for batch in batches:
+            rows = []
+            ids, texts = batch.column(0), batch.column(1)
+            for part in blocks(texts):
+                words = part.words(lower=True)
+                values, row = shingle_hashes(words, items.k)
+                weight, found = items.weights(values)
+                weight = np.where(found, weight, np.float32(1))
+                edges = np.searchsorted(row, np.arange(part.rows + 1))
+                hits = np.concatenate([[0], np.cumsum(found)])[edges]
+                for i in range(part.rows):
+                    own = slice(edges[i], edges[i + 1])
+                    hashes = words.hash[words.first[i] : words.first[i + 1]]
+                    marks = np.zeros(edges[i + 1] - edges[i] + 1, np.int64)
+                    if hits[i + 1] > hits[i]:
+                        known, total = (np.concatenate([[0], np.cumsum(x, dtype=np.float64)]) for x in (weight[own] * found[own], weight[own]))
+                        for length, index in items.by_length.items():
+                            start, features = _windows(items, index, length, len(hashes), known, total)
+                            np.add.at(marks, start, 1)
+                            np.add.at(marks, start + features, -1)
+                    covered = np.cumsum(marks)[:-1] > 0
+                    if covered.any() or has_short and _short_items(items, hashes, []):
+                        unknown = np.unique(values[own][covered & ~found[own]])
+                        rows.append((ids[part.first + i].as_py(), texts[part.first + i].as_py(), unknown.view(np.int64).tolist()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
+    return run, "row long, text string, unknown array<long>"
+
+
+def _item_shingles(k: int):
+    """Distinct shingles of each item; the shingle is null in one more row of each item that has words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in blocks(batch.column(1)):
+                values, row = unique_by_row(*shingle_hashes(text.words(lower=True), k))
+                block = batch.column(0).slice(text.first, text.rows)
+                full = np.unique(row)
+                at = pa.array(np.concatenate([row, full]).astype(np.int64))
+                shingle = pa.array([*values.view(np.int64).tolist(), *[None] * len(full)], pa.int64())
+                yield pa.RecordBatch.from_arrays([block.take(at), shingle], names=["block", "shingle"])
+
+    return run, "block int, shingle long"
+
+
+def _counted(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (shingle, n) as arrays, sorted by the unsigned shingle."""
+    got = table.select("shingle", "n").toArrow()
+    values, n = (got.column(c).to_numpy().astype(np.int64) for c in ("shingle", "n"))
+    order = np.argsort(values.view(U64), kind="stable")
+    return values.view(U64)[order], n[order]
+
+
+def _rows_of(table: DataFrame) -> list[tuple[int, str]]:
+    return sorted((r["item_id"], r["text"]) for r in table.collect())
+
+
+def _leaks_by_block(texts: DataFrame, rows: DataFrame, n: int, k: int, least: float, radius: int) -> DataFrame:
+    """Rows (row, leaks) of the texts that hold an item, one for each block that has any; ``texts`` is (row, text), written.
+
+    One block is on the driver at a time, with its share of the frequencies; each block's hits are written before the next starts.
+    """
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "items")
+    rows = rows.select("item_id", "text", F.pmod(F.xxhash64("row"), F.lit(n)).cast("int").alias("block"))
+    run, schema = _item_shingles(k)
+    shingles = written(rows.select("block", "text").mapInArrow(run, schema), "item-shingles")
+    total = shingles.where(F.col("shingle").isNull()).count()
+    counts = written(shingles.where(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.count(F.lit(1)).alias("n")), "frequencies")
+    parts = []
+    for b in range(n):
+        items = Items.of(_rows_of(rows.where(F.col("block") == b)), k, least, radius)
+        if not items.ids:
+            continue
+        own = shingles.where((F.col("block") == b) & F.col("shingle").isNotNull()).select("shingle").distinct()
+        items.total, items.counts = total, _counted(counts.join(own, "shingle"))
+        run, schema = _possible(items)
+        possible = written(texts.mapInArrow(run, schema), "possible")
+        # A shingle of one item weighs as much as one of none.
+        more = possible.select(F.explode("unknown").alias("shingle")).distinct()
+        values, seen = _counted(counts.where("n > 1").join(more, "shingle"))
+        both, at = np.unique(np.concatenate([items.counts[0], values]), return_index=True)
+        exact = Items(items.ids, items.shingles, items.lengths, k, least, radius, total, (both, np.concatenate([items.counts[1], seen])[at]))
+        hits = possible.select("row", leaks(F.col("text"), exact).alias("leaks"))
+        parts.append(written(hits.where(F.size("leaks") > 0), "leaks"))
+    out = texts.sparkSession.createDataFrame([], f"row long, leaks {LEAKS}")
+    for part in parts:
+        out = out.union(part)
+    return out
+
+
+def _with_leaks(docs: DataFrame, benchmark: DataFrame, name: str, k: int = 5, least: float = 0.8, radius: int = 19, clean: bool = False) -> DataFrame:
+    """``docs`` with the leaks of each text; with ``clean``, only rows that have none.
+
+    Null and blank items match nothing; a repeated item is found under each of its ids.
     """
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     n = max(1, -(-size["n"] // BLOCK_ITEMS), -(-(size["b"] or 0) // BLOCK_BYTES))
-    for b in range(n):
-        own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).collect()
-        yield Items.of(sorted((r["item_id"], r["text"]) for r in own if r["text"] is not None and r["item_id"] is not None), k, least, radius)
-
-
-def _with_leaks(docs: DataFrame, benchmark: DataFrame, name: str, **how) -> DataFrame:
-    found = [leaks(F.col("text").cast("string"), items) for items in item_blocks(benchmark, **how) if items.ids]
-    if not found:
-        return docs.withColumn(name, F.array().cast(LEAKS))
-    if len(found) == 1:
-        return docs.withColumn(name, found[0])
-    for i, c in enumerate(found):
-        docs = docs.withColumn(f"{name}{i}", c)
-    parts = [f"{name}{i}" for i in range(len(found))]
-    return docs.withColumn(name, F.concat(*parts)).drop(*parts)
+    if n == 1:
+        items = Items.of(_rows_of(rows), k, least, radius)
+        found = docs.withColumn(name, leaks(F.col("text").cast("string"), items) if items.ids else F.array().cast(LEAKS))
+        return found.where(F.size(name) == 0) if clean else found
+    row = f"{name}row"
+    docs = written(docs.withColumn(row, F.monotonically_increasing_id()), "texts")
+    hits = _leaks_by_block(docs.select(F.col(row).alias("row"), F.col("text").cast("string").alias("text")), rows, n, k, least, radius)
+    hits = hits.select(F.col("row").alias(row), F.col("leaks").alias(name))
+    if clean:
+        return docs.join(hits.select(row).distinct(), row, "left_anti")
+    return docs.join(hits, row).drop(row)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
@@ -256,4 +374,4 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     name = "_leaks_"
     while any(c.startswith(name) for c in docs.columns):
         name += "_"
-    return _with_leaks(docs, benchmark, name, **how).where(F.size(name) == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _with_leaks(docs, benchmark, name, clean=True, **how).select(*[F.col(f"`{c}`") for c in docs.columns])
