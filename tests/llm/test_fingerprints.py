@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tradewind.llm import fingerprints
-from tradewind.llm.fingerprints import KMER, SKETCHES, TUPLE, fingerprinted, likeness, sketch
+from tradewind.llm.fingerprints import KMER, SKETCHES, TUPLE, fingerprinted, likeness, order_sketch, sketch
 
 DOCS = "doc_id long, text string"
 
@@ -113,3 +113,38 @@ def test_odd_rows(spark):
     twice = [(1, "abc def ghi jkl"), (1, "abc def ghi jkl"), (2, "x y z")]
     assert len(fingerprinted(spark.createDataFrame(twice, DOCS)).collect()) == 3
     assert fingerprinted(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_short_texts_have_full_tuples_that_know_the_order(spark):
+    rng = random.Random(2)
+    pairs = []
+    for n in (20, 40, 80, 130):
+        for _ in range(25):
+            w = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+            half = n // 2
+            pairs.append((n, " ".join(w), " ".join(w[half:] + w[:half])))
+    df = spark.createDataFrame(pairs, "n int, a string, b string")
+    got = df.select("n", F.size(order_sketch(F.col("a"))).alias("size"), likeness(order_sketch(F.col("a")), order_sketch(F.col("b"))).alias("x")).collect()
+    assert all(r["size"] == SKETCHES for r in got)
+    # Two k-mers of different halves, every second tuple, change their order; a single k-mer has none.
+    for n in (20, 40, 80, 130):
+        own = [r["x"] for r in got if r["n"] == n]
+        assert 0.3 < sum(own) / len(own) < 0.6, n
+
+
+def test_sketches_of_long_texts_are_those_of_full_buckets(spark):
+    rows = [(r["text"],) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rows = [r for r in rows if len(r[0].split()) > 800 and max(map(len, r[0].split())) <= fingerprints.LONGEST and r[0].isascii()]
+    rows = rows or [(" ".join(f"w{i * i % 997}" for i in range(3000)),)]
+    for r in spark.createDataFrame(rows, "t string").select(sketch(F.col("t")).alias("a"), order_sketch(F.col("t")).alias("b")).collect():
+        assert len(set(r["a"]) - set(r["b"])) <= 1
+
+
+def test_texts_without_blanks(spark):
+    rng = random.Random(3)
+    signs = {"zh": "天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏閏餘成歲律呂調陽", "ja": "あいうえおかきくけこさしすせそカキクケコ日本語", "th": "กขคงจฉชซญดตถทธนบปผพฟมยรลวศสหอ", "token": "abcdefghijklmnopqrstuvwxyz0123456789"}
+    rows = [(i, "".join(rng.choices(s, k=n))) for i, (s, n) in enumerate((s, n) for s in signs.values() for n in (100, 800))]
+    got = fingerprinted(spark.createDataFrame(rows, DOCS)).collect()
+    check(got, rows)
+    assert all(0.25 < r["near_edited"] < 0.95 for r in got)
+    assert all(r["near_next"] < 0.5 for r in got)
