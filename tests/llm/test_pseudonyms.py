@@ -94,3 +94,21 @@ def test_all_planted_values_of_a_table_are_replaced(spark):
         if not re.search(r"\d|@", r["text"]):
             assert got[r["doc_id"]] == r["text"]
     assert n > 20
+
+
+@pytest.mark.parametrize("after", ["EUR", "12 euros", "A", "BIC DEUTDEFF", "2024 1000 EUR", "PAID 12 EUR", "AT61 1904 3002 3457 3201"])
+@pytest.mark.parametrize("iban", ["ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332", "AT61 1904 3002 3457 3201", "AT611904300234573201", "BE68539007547034", "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "NO9386011117947"])
+def test_ibans_before_short_words(iban, after):
+    there, back = Pseudonyms(b"key"), Pseudonyms(b"key", inverse=True)
+    text = f"pay {iban} {after}"
+    new, kinds = there.replace(text)
+    assert iban not in new and kinds == ["iban"] * (2 if after.startswith("AT") else 1)
+    assert new[: 4 + len(iban)] == there.replace(f"pay {iban}")[0]
+    assert after.startswith("AT") or new.endswith(f" {after}")
+    assert back.replace(new) == (text, kinds)
+
+
+def test_ibans_behind_a_code_that_is_none():
+    p = Pseudonyms(b"key")
+    new, kinds = p.replace("ref AB12 CDEF 1234 DE89370400440532013000 x")
+    assert kinds == ["iban"] and "DE89370400440532013000" not in new and new.startswith("ref AB12 CDEF 1234 DE")

@@ -138,6 +138,29 @@ def _mod97(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
 
 
+#: Lengths of IBANs by country, from the registry.
+IBAN_LENGTHS = {
+    country: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "GI IL IQ OM SO TL", 24: "AD AE CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
+
+def _iban_starts(text: str) -> list[str]:
+    """What may be an IBAN in a match of the pattern, which takes in short words and numbers that follow.
+
+    The match up to each of its spaces: first that of the country's length, so that a word behind can not pass for a part of it;
+    then the others, longest first.
+    """
+    ends = [i for i, c in enumerate(text) if c == " "] + [len(text)]
+    starts = [text[:end] for end in reversed(ends)]
+    return sorted(starts, key=lambda s: len(s) - s.count(" ") != IBAN_LENGTHS.get(text[:2]))
+
+
 def _iban(text: str, move: Callable) -> str | None:
     plain = text.replace(" ", "")
     if not 15 <= len(plain) <= 34 or _mod97(plain) != 1:
@@ -233,10 +256,36 @@ class Pseudonyms:
         if "@" in text:
             text = _EMAIL.sub(lambda m: found("email", m), text)
         if any(c in text for c in string.digits):
-            text = _IBAN.sub(lambda m: found("iban", m), text)
-            text = _NUMBER.sub(lambda m: found(m.lastgroup if m.lastgroup != "gap" else "card", m), text)
+            text, spans = self._ibans(text, kinds)
+            # Digits of a pseudonym are not searched for numbers.
+            out, at = [], 0
+            for first, last in [*spans, (len(text), len(text))]:
+                for m in _NUMBER.finditer(text, at, first):
+                    out += [text[at : m.start()], found(m.lastgroup if m.lastgroup != "gap" else "card", m)]
+                    at = m.end()
+                out.append(text[at:last])
+                at = last
+            text = "".join(out)
         return text, kinds
 
+    def _ibans(self, text: str, kinds: list[str]) -> tuple[str, list[tuple[int, int]]]:
+        """The text with pseudonyms for its IBANs, and the places of these."""
+        out, spans, done, at = [], [], 0, 0
+        while m := _IBAN.search(text, at):
+            for own in _iban_starts(m.group()):
+                new = self.of("iban", own)
+                if new is not None:
+                    at = m.start() + len(own)
+                    out += [text[done : m.start()], new]
+                    spans.append((m.start(), at))
+                    kinds.append("iban")
+                    done = at
+                    break
+            else:
+                # None of it is valid, but an IBAN may begin at a later word of the match.
+                at = m.start() + len(m.group().split(" ")[0])
+        return "".join([*out, text[done:]]), spans
+
 
 def pseudonyms(text: Column, key: str, inverse: bool = False) -> Column:
     """Struct (text, n_replaced, kinds) of a text column; a null text stays null, with 0 and no kinds."""
