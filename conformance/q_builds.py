@@ -6,7 +6,7 @@ from conformance.registry import query
 from conformance.star import star
 from tradewind.plans import dimensions, facts, marts, warehouse
 
-_MONTHLY = """SELECT year_month, year, month, month_name, total_orders, total_items,
+_MONTHLY = """SELECT sales_agg_sk, year_month, year, month, month_name, total_orders, total_items,
     CAST(total_revenue AS DOUBLE) AS total_revenue, CAST(total_freight AS DOUBLE) AS total_freight, avg_order_value,
     CAST(avg_items_per_order AS DOUBLE) AS avg_items_per_order, unique_customers, new_customers, unique_products,
     unique_states FROM agg_monthly_sales"""

@@ -429,7 +429,7 @@ def top_states(spark, sf_dir):
     return stats.top_values(staging(spark, sf_dir)["stg_customers"], "customer_state", 10)
 
 
-@query("latest_month_row", f"SELECT {_MONTH}, new_customers FROM agg_monthly_sales ORDER BY year_month DESC LIMIT 1")
+@query("latest_month_row", f"SELECT sales_agg_sk, {_MONTH}, new_customers FROM agg_monthly_sales ORDER BY year_month DESC LIMIT 1")
 def latest_month_row(spark, sf_dir):
     return reports.latest_month_row(_months(spark, sf_dir))
 

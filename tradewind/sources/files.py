@@ -30,14 +30,13 @@ _STORAGE_TYPES = [
 
 
 def csv_scan(
-    spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = False
+    spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = True
 ) -> DataFrame:
     """Headered UTF-8 CSV read as text.
 
     With ``columns`` the layout is declared; without, only the header is looked
-    at first. Large files are split between tasks. ``multi_line`` allows line
-    breaks inside quoted values, at the price of one task per file: a table with
-    free text should then come as many files.
+    at first. ``multi_line`` allows line breaks inside quoted values, at the price
+    of one task per file; without it, large files are split between tasks.
     """
     reader = spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"')
     reader = reader.option("multiLine", multi_line)
