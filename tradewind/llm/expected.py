@@ -127,10 +127,77 @@ def license_scan(least: float = 0.8, slack: int = 3) -> str:
     FROM docs LEFT JOIN counted USING (row) GROUP BY row, doc_id"""
 
 
+def conversation_repair() -> str:
+    """Damage by a CRC stated as SQL, faults by windows, and the cheapest edits row by row for each last role."""
+    table = "list_transform(range(0, 256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
+    known = lambda c: f"coalesce(CAST({c} AS VARCHAR), ' ')"
+    key = "lpad(CAST(w.cost + g.cost + f.cost AS VARCHAR), 9, '0') || w.audit || g.audit || f.letter"
+    said = "CASE f.letter WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || o.role || ':' || o.text ELSE chr(10) || CASE f.after WHEN 2 THEN 'user' ELSE 'assistant' END || ':' || o.text END"
+    space = "\\x20\\x09-\\x0D"
+    return f"""
+    WITH RECURSIVE crc AS (SELECT {table} AS t),
+    keyed AS (SELECT conv_id, turn, {known("role")} AS role, {known("text")} AS text, {known("conv_id")} || ':' || {known("turn")} AS k FROM conversations),
+    drawn AS (SELECT keyed.*, xor(list_reduce(list_concat([4294967295], list_transform(string_split(k, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+        lambda c, x: xor(c >> 8, t[CAST((xor(c, x) & 255) + 1 AS BIGINT)])), 4294967295) % 20 AS kind FROM keyed, crc),
+    hurt AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM drawn, unnest(range(0, CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) t(copy)),
+    names AS (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+    placed AS (SELECT c, turn, role, text, substr(role, 1, 1) AS r, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i
+        FROM hurt JOIN names ON hurt.conv_id IS NOT DISTINCT FROM names.conv_id),
+    judged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^{space}]') THEN 1 WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 2
+        WHEN regexp_extract(text, '([^{space}])[{space}]*$', 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+        i > 1 AND lag(r) OVER (PARTITION BY c ORDER BY i) || r NOT IN ('su', 'ua', 'au') AS illegal FROM placed),
+    one(before, after) AS (VALUES (0, 2), (1, 2), (2, 3), (3, 2)),
+    gap AS (SELECT before, before AS after, 0 AS cost, '' AS audit, '' AS said FROM one
+        UNION ALL SELECT before, after, 2, 'I', CASE after WHEN 2 THEN chr(10) || 'user:' ELSE chr(10) || 'assistant:' END FROM one
+        UNION ALL SELECT a.before, b.after, 4, 'II', CASE a.after WHEN 2 THEN chr(10) || 'user:' || chr(10) || 'assistant:' ELSE chr(10) || 'assistant:' || chr(10) || 'user:' END
+            FROM one a JOIN one b ON a.after = b.before),
+    fate AS (SELECT before, after, 'R' AS letter, CAST(NULL AS VARCHAR) AS r, 2 AS cost FROM one
+        UNION ALL SELECT before, before, 'D', CAST(NULL AS VARCHAR), 3 FROM one
+        UNION ALL SELECT * FROM (VALUES (0, 1, 'K', 's', 0), (0, 2, 'K', 'u', 0), (1, 2, 'K', 'u', 0), (3, 2, 'K', 'u', 0), (2, 3, 'K', 'a', 0)) k),
+    walk AS (SELECT c, CAST(0 AS BIGINT) AS i, 0 AS state, 0 AS cost, '' AS audit, '' AS said FROM names
+        UNION ALL
+        SELECT c, i, state, CAST(substr(least, 1, 9) AS INTEGER), substr(least, 10), said FROM (
+            SELECT w.c, w.i + 1 AS i, f.after AS state, min({key}) AS least, arg_min(w.said || g.said || {said}, {key}) AS said
+            FROM walk w JOIN gap g ON g.before = w.state JOIN judged o ON o.c = w.c AND o.i = w.i + 1
+            JOIN (SELECT fate.*, bad FROM fate, (VALUES (FALSE), (TRUE)) b(bad)) f0 ON f0.before = g.after AND (f0.r IS NULL OR f0.r = o.r)
+                AND (f0.letter = 'D' OR o.fault NOT IN (1, 2)) AND f0.bad = (o.fault = 3),
+            LATERAL (SELECT f0.after, f0.letter, f0.cost + CASE WHEN f0.bad AND f0.letter <> 'D' THEN 1 ELSE 0 END AS cost) f
+            GROUP BY w.c, w.i, f.after)),
+    sizes AS (SELECT c, count(i) AS n FROM names LEFT JOIN judged USING (c) GROUP BY c),
+    ends AS (SELECT w.c, min(lpad(CAST(w.cost + g.cost AS VARCHAR), 9, '0') || w.audit || g.audit) AS least,
+        arg_min(w.said || g.said, lpad(CAST(w.cost + g.cost AS VARCHAR), 9, '0') || w.audit || g.audit) AS said
+        FROM walk w JOIN sizes ON sizes.c = w.c AND sizes.n = w.i JOIN gap g ON g.before = w.state WHERE g.after IN (0, 3) GROUP BY w.c),
+    counted AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+        count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (illegal) AS illegal FROM judged GROUP BY c)
+    SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+        coalesce(illegal, 0) AS illegal, CAST(substr(least, 1, 9) AS BIGINT) AS cost, substr(least, 10) AS audit, sha256(substr(said, 2)) AS repaired_sha256
+    FROM names JOIN ends USING (c) LEFT JOIN counted USING (c)"""
+
+
+def fill_in_middle() -> str:
+    """Tokens as a list, cut by the numbers of the digest; what comes back must be the text."""
+    number = lambda i: f"CAST('0x' || substr(h, {8 * i + 1}, 8) AS UBIGINT)"
+    part = lambda a, b: f"coalesce(array_to_string(u[{a} : {b}], ''), '')"
+    return f"""
+    WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+        sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+    drawn AS (SELECT *, len(u) AS n, CAST({number(0)} % (len(u) + 1) AS BIGINT) AS x, CAST({number(1)} % (len(u) + 1) AS BIGINT) AS y FROM docs),
+    cut AS (SELECT doc_id, n, t, {part("1", "least(x, y)")} AS p, {part("least(x, y) + 1", "greatest(x, y)")} AS m, {part("greatest(x, y) + 1", "n")} AS s,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR {number(2)} % 100 >= 90 THEN 'plain'
+            WHEN {number(3)} % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+        sha256(t) AS restored_sha256 FROM cut"""
+
+
 EXPECTED = {
     "op1_url_filter": url_filter(),
     "op5_suffix_array_dedup": repeated_bytes(),
     "op6_substring_dedup": earlier_passages(),
     "op9_minhash_near_dedup": near_copies(),
     "op10_license_scan": license_scan(),
+    "op12_conversation_repair": conversation_repair(),
+    "op13_fill_in_middle": fill_in_middle(),
 }

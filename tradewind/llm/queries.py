@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradewind.llm.conversations import audited, damaged
 from tradewind.llm.decontamination import contaminated
 from tradewind.llm.expected import EXPECTED  # noqa: F401
+from tradewind.llm.fill_in_middle import infilled, restored
 from tradewind.llm.fingerprints import fingerprinted
 from tradewind.llm.fm_index import without_earlier_passages
 from tradewind.llm.languages import predicted
@@ -85,3 +87,19 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return audited(damaged(conversations), conversations)
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = infilled(table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        digest(F.col("output")).alias("output_sha256"), digest(restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
