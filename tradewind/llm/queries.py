@@ -18,6 +18,7 @@ from tradewind.llm.licenses import scanned
 from tradewind.llm.near_duplicates import near_duplicate_groups
 from tradewind.llm.packing import packed
 from tradewind.llm.pseudonyms import pseudonyms
+from tradewind.llm.quality import scored
 from tradewind.llm.suffix_repeats import without_repeats
 from tradewind.llm.urls import judged
 from tradewind.session import workers_find_package
@@ -89,6 +90,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
