@@ -53,6 +53,32 @@ def source_catalog(spark, sf_dir):
     return counts.select("table_name", F.col("row_count").alias("n"))
 
 
+_DAMAGED = """SELECT *, CASE WHEN CAST(order_id AS BIGINT) % 7 = 3 THEN 'ragged' WHEN CAST(order_id AS BIGINT) % 11 = 5 THEN 'unreadable:price' ELSE '' END AS problem
+    FROM stg_order_items"""
+
+
+def _damaged_items(spark, sf_dir) -> str:
+    """Items as CSV lines: some lack their last values, some have a price that is none."""
+    path = folder(spark, "damaged")
+    sinks.csv_export(staging(spark, sf_dir)["stg_order_items"], path)
+    lines = spark.read.text(path)
+    number = F.split("value", ",")[0].try_cast("bigint")
+    short = F.regexp_replace("value", ",[^,]*,[^,]*$", "")
+    words = F.regexp_replace("value", ",[^,]*(,[^,]*)$", ",ten$1")
+    out = F.when(number % 7 == 3, short).when(number % 11 == 5, words).otherwise(F.col("value"))
+    lines.select(out.alias("value")).write.text(f"{path}-lines")
+    return f"{path}-lines"
+
+
+@query("rejected_records", f"""SELECT problem, count(*) AS n FROM ({_DAMAGED}) WHERE problem <> '' GROUP BY problem
+    UNION ALL SELECT 'staged', count(*) FROM ({_DAMAGED}) WHERE problem = ''""")
+def rejected_records(spark, sf_dir):
+    """Rows of the files are staged rows and rejected ones, by what is wrong with them."""
+    staged, rejected = files.staged_records(spark, _damaged_items(spark, sf_dir), "stg_order_items")
+    problems = rejected.groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
+    return problems.union(staged.agg(F.lit("staged"), F.count(F.lit(1))))
+
+
 @query("standardize_columns", "SELECT s_suppkey AS supplier_key, s_name AS supplier_name, s_acctbal AS account_balance FROM supplier")
 def standardize_columns(spark, sf_dir):
     supplier = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")

@@ -136,6 +136,7 @@ def run_warehouse(
     spark: SparkSession,
     staging: dict[str, DataFrame | None],
     sink: Callable[[str, str, DataFrame], tuple[DataFrame, int]],
+    refused: dict[str, DataFrame] | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Build everything; returns the written tables and a summary of the steps.
 
@@ -155,14 +156,15 @@ def run_warehouse(
             summary.append(("staging", table, 0, 0, "missing"))
             continue
         tables[table], n = sink("staging", table, rows)
-        summary.append(("staging", table, n, 0, "loaded"))
+        unread = sink("rejected", table, refused[table])[1] if refused and table in refused else 0
+        summary.append(("staging", table, n, unread, "loaded"))
     with run_folder(spark):
         for layer, names in STEPS.items():
             for table in names:
                 loaded, rejected = split_table(table, tables)
-                refused = sink("rejected", table, rejected)[1] if rejected is not None else 0
+                left_out = sink("rejected", table, rejected)[1] if rejected is not None else 0
                 tables[table], n = sink(layer, table, loaded)
-                summary.append((layer, table, n, refused, "loaded"))
+                summary.append((layer, table, n, left_out, "loaded"))
     return tables, spark.createDataFrame(
         summary, "layer string, table_name string, rows long, rejected long, status string"
     )

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.functions.text import record_hash, standard_name
+from tradewind.functions.text import has_value, record_hash, standard_name
+from tradewind.sources.records import BAD, FILE, RECORD, csv_records
 from tradewind.sources.schemas import SOURCE_FILES, STAGING
 
 LOAD_COLUMNS = ["load_timestamp", "source_file", "record_hash"]
@@ -35,11 +37,15 @@ def csv_scan(
     """Headered UTF-8 CSV read as text.
 
     With ``columns`` the layout is declared; without, only the header is looked
-    at first. ``multi_line`` allows line breaks inside quoted values, at the price
-    of one task per file; without it, large files are split between tasks.
+    at first. Large files are split between tasks, also where quoted values hold
+    line breaks; ``multi_line=False`` says that none do, which spares the look at
+    the quotes. A record with missing values is filled up with NULL, one with too
+    many is cut; :func:`tradewind.sources.records.csv_records` tells them.
     """
+    if multi_line:
+        rows = csv_records(spark, path, columns)
+        return rows.drop(FILE, RECORD, BAD)
     reader = spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"')
-    reader = reader.option("multiLine", multi_line)
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     return reader.csv(path)
@@ -87,20 +93,60 @@ def source_path(folder: str, table: str, prefix: str = "", files: dict[str, str]
     return f"{folder.rstrip('/')}/{name}"
 
 
+def staged_records(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
+    """The records of a source in its staging types with load metadata, and those that can not be staged.
+
+    A record is rejected as ``ragged`` if it has another number of values than the header, or an unclosed quote, and as
+    ``unreadable:<column>`` if a value that is there can not be read in its declared type. Rejected rows are (source_file, record_number,
+    problem, record): the file, the number of the record in it from 1, and its text. Every record is in one of the two.
+    """
+    raw = csv_records(spark, path)
+    columns = [c for c in raw.columns if c not in (FILE, RECORD, BAD)]
+    raw = raw.toDF(*[standard_name(c) for c in columns], FILE, RECORD, BAD)
+    typed = [f for f in STAGING[table] if not isinstance(f.dataType, T.StringType)]
+    unread = [F.when(has_value(f.name) & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f"unreadable:{f.name}")) for f in typed]
+    problem = F.when(F.col(BAD).isNotNull(), F.lit("ragged")).otherwise(F.concat_ws(",", *unread) if unread else F.lit(""))
+    told = raw.withColumn("_problem", problem)
+    plain = told.where("_problem = ''").select(*[standard_name(c) for c in columns])
+    staged = typed_staging(with_load_metadata(plain, path.rsplit("/", 1)[1]), table)
+    text = F.coalesce(F.col(BAD), F.to_csv(F.struct(*[F.col(standard_name(c)) for c in columns])))
+    rejected = told.where("_problem <> ''").select(
+        F.col(FILE).alias("source_file"), F.col(RECORD).alias("record_number"), F.col("_problem").alias("problem"), text.alias("record")
+    )
+    return staged, rejected
+
+
 def source_catalog(
-    spark: SparkSession, folder: str, prefix: str = "", files: dict[str, str] | None = None
+    spark: SparkSession,
+    folder: str,
+    prefix: str = "",
+    files: dict[str, str] | None = None,
+    rejected: dict[str, DataFrame] | None = None,
+    failed: dict[str, str] | None = None,
 ) -> Iterator[tuple[str, DataFrame | None]]:
-    """Each staging table with its rows, or with None when its file is missing."""
+    """Each staging table with its rows, or with None when its file is missing.
+
+    With ``rejected``, only records that fit the layout are staged and the others are put there by table, see :func:`staged_records`;
+    without it, records are filled up or cut and unreadable values become NULL. With ``failed``, a source that can not be read at all
+    is noted there with the reason and counts as missing, so that it does not stop the others.
+    """
     for table in STAGING:
         path = source_path(folder, table, prefix, files)
         try:
-            raw = standardize_columns(csv_scan(spark, path, multi_line=table in FREE_TEXT_TABLES))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
+            if rejected is not None:
+                rows, rejected[table] = staged_records(spark, path, table)
+            else:
+                raw = standardize_columns(csv_scan(spark, path, multi_line=table in FREE_TEXT_TABLES))
+                rows = typed_staging(with_load_metadata(raw, path.rsplit("/", 1)[1]), table)
+        except (PySparkException, Py4JJavaError) as error:
+            missing = isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND"
+            if not missing and failed is None:
                 raise
+            if failed is not None:
+                failed[table] = "missing" if missing else str(error).split("\n", 1)[0]
             yield table, None
             continue
-        yield table, typed_staging(with_load_metadata(raw, path.rsplit("/", 1)[1]), table)
+        yield table, rows
 
 
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
