@@ -175,3 +175,43 @@ def test_dbscan_on_one_feature_without_any_cluster(spark):
     df = spark.createDataFrame([(i, float(10 * i)) for i in range(6)], "id long, a double")
     got = dbscan(df, "id", ["a"], 1.0, 2).toPandas()
     assert got["dbscan_cluster"].tolist() == [-1] * 6 and not got["is_core"].any()
+
+
+def test_uniform_numbers_depend_on_values_only():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(50_000, 3))
+    u = kmeans.uniform(x, 7)
+    assert (kmeans.uniform(x[::-1], 7) == u[::-1]).all() and not (kmeans.uniform(x, 8) == u).any()
+    assert abs(u.mean() - 0.5) < 0.01 and abs(np.corrcoef(u, x[:, 0])[0, 1]) < 0.02 and len(np.unique(u)) == len(u)
+    assert (kmeans.uniform(np.array([[0.0, 1.0]]), 1) == kmeans.uniform(np.array([[-0.0, 1.0]]), 1)).all()
+
+
+def test_a_cluster_of_one_in_a_hundred_thousand_is_found(spark):
+    """Ten of a million vectors, far away from the others."""
+    base = spark.range(1_000_000).select(F.col("id"), F.rand(1).alias("a"), F.rand(2).alias("b"))
+    far = F.col("id") % 100_000 == 7
+    df = base.select(*[F.when(far, 500 + F.col(c)).otherwise(F.col(c)).alias(c) for c in ("a", "b")])
+    fit = kmeans.fit_kmeans(kmeans.weighted_points(df, ["a", "b"]), 3, restarts=2)
+    assert max(c[0] for c in fit.centroids) > 499
+
+
+@pytest.mark.parametrize("n", [19_990, 20_010])
+def test_nothing_changes_at_twenty_thousand_vectors(spark, n):
+    """Three blobs and a small far one: the same centroids from slightly fewer and slightly more vectors."""
+    noise = lambda s: F.rand(s) * 0.5
+    blob = F.col("id") % 3
+    rows = spark.range(n).select((blob * 10 + noise(3)).alias("a"), (blob * blob * 5 + noise(4)).alias("b"))
+    few = spark.range(4).select((100 + F.col("id") * 0.1).alias("a"), (-100 - F.col("id") * 0.1).alias("b"))
+    fit = kmeans.fit_kmeans(kmeans.weighted_points(rows.union(few), ["a", "b"]), 4, restarts=3)
+    want = [[0.25, 0.25], [10.25, 5.25], [20.25, 20.25], [100.15, -100.15]]
+    assert np.abs(np.array(fit.centroids) - want).max() < 0.02
+
+
+def test_candidates_are_the_same_for_any_partitioning_and_all_of_few_points(spark, points):
+    names = ["a", "b", "c", "d"]
+    df = spark.createDataFrame([tuple(map(float, p)) for p in points], ", ".join(f"{n} double" for n in names))
+    weighted = kmeans.weighted_points(df, names)
+    drawn = [kmeans.starting_candidates(p, 20, 4, 1) for p in (weighted.repartition(1), weighted.repartition(9))]
+    assert (drawn[0] == drawn[1]).all() and len(np.unique(drawn[0], axis=0)) == len(drawn[0]) == 100
+    every = kmeans.starting_candidates(weighted, 400, 4, 1)
+    assert {tuple(p) for p in every} == {tuple(p) for p in points}
