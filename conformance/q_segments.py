@@ -20,6 +20,7 @@ from tradewind.functions.text import money_text
 from tradewind.operators import clustering as cl
 from tradewind.operators import dbscan as density
 from tradewind.operators import rfm, segments
+from tradewind.operators import silhouette as sil
 from tradewind.operators.kmeans import fit_kmeans, weighted_points
 from tradewind.plans import segmentation
 from tradewind.session import materialize
@@ -270,6 +271,11 @@ def _silhouette_sql(distance: str) -> str:
               FROM vectors v, vectors w GROUP BY ALL) GROUP BY vec_id)"""
 
 
+@query("silhouette", _silhouette_sql("list_distance(v.x, w.x)").replace("silhouette_squared", "silhouette"))
+def silhouette(spark, sf_dir):
+    return rounded(sil.silhouette(vectors(spark, sf_dir), "x", "label"), "silhouette")
+
+
 @query("silhouette_squared", _silhouette_sql("list_distance(v.x, w.x) * list_distance(v.x, w.x)"))
 def silhouette_squared(spark, sf_dir):
     return rounded(cl.silhouette_squared(vectors(spark, sf_dir), "x", "label"), "silhouette_squared")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tradewind.operators import clustering as cl
 from tradewind.operators import kmeans
+from tradewind.operators import silhouette as sil
 from tradewind.operators.dbscan import connected_components, dbscan
 
 
@@ -126,8 +127,11 @@ def test_silhouettes(spark, points):
     labels[-1] = 99  # a cluster of one row
     rows = [(i, int(g), [float(v) for v in p]) for i, (p, g) in enumerate(zip(points, labels))]
     df = spark.createDataFrame(rows, "id long, g int, x array<double>")
-    exact = cl.silhouette_euclidean(df, "id", "x", "g", block_rows=40).first()[0]
-    assert exact == pytest.approx(silhouette(points, labels, 1), abs=1e-9)
+    want = silhouette(points, labels, 1)
+    for tolerance, block_rows in ((0, 40), (0, 4096), (1e-7, 70), (0.05, 40)):
+        exact = sil.measure(df, "x", "g", tolerance=tolerance, block_rows=block_rows)
+        assert exact.value == pytest.approx(want, abs=max(tolerance, 1e-9))
+    assert sil.silhouette(df, "x", "g").first()[0] == pytest.approx(want, abs=1e-7)
     assert cl.silhouette_squared(df, "x", "g").first()[0] == pytest.approx(silhouette(points, labels, 2), abs=1e-6)
 
 
@@ -215,3 +219,33 @@ def test_candidates_are_the_same_for_any_partitioning_and_all_of_few_points(spar
     assert (drawn[0] == drawn[1]).all() and len(np.unique(drawn[0], axis=0)) == len(drawn[0]) == 100
     every = kmeans.starting_candidates(weighted, 400, 4, 1)
     assert {tuple(p) for p in every} == {tuple(p) for p in points}
+
+
+def test_bounds_hold_the_silhouette_and_the_search_needs_few_pairs(spark):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(c, s, (400, 3)) for c, s in (([0, 0, 0], 1), ([4, 0, 0], 0.5), ([0, 5, 0], 0.8), ([4, 4, 4], 1.2))])
+    df = spark.createDataFrame([tuple(map(float, p)) for p in x], "a double, b double, c double")
+    weighted = kmeans.weighted_points(df, ["a", "b", "c"])
+    fits = kmeans.fit_kmeans_all(weighted, [2, 4, 6], restarts=3)
+    bounds = sil.bounds_of_models(weighted, {k: f.centroids for k, f in fits.items()})
+    for k, fit in fits.items():
+        labels = sil._squares(x, np.array(fit.centroids)).argmin(axis=1)
+        want = silhouette(x, labels, 1)
+        low, high = bounds[k]
+        assert low <= want <= high and high - low < 0.1
+        rows = spark.createDataFrame([(p.tolist(), int(g)) for p, g in zip(x, labels)], "x array<double>, g int")
+        found = sil.measure(rows, "x", "g")
+        assert found.value == pytest.approx(want, abs=1e-6)
+        if k >= 4:
+            assert found.pairs < 0.55 * found.all_pairs
+    assert cl.find_optimal_k(df, ["a", "b", "c"], max_k=6, restarts=3).best_k == 4
+
+
+def test_silhouette_of_copies_lone_rows_and_no_clusters(spark):
+    schema = "x array<double>, g int"
+    value = lambda rows: sil.measure(spark.createDataFrame(rows, schema), "x", "g").value
+    assert value([([1.0], 0)] * 5 + [([3.0], 1)]) == pytest.approx(5 / 6)
+    assert value([([1.0], 0)] * 5 + [([1.0], 1)] * 3) == 0
+    assert value([([1.0], 0), ([2.0], 0)]) is None and value([]) is None
+    far = [([1e6 + i], i // 3) for i in range(9)]
+    assert value(far) == pytest.approx(silhouette(np.array([f[0] for f in far]), np.array([f[1] for f in far]), 1), abs=1e-7)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.operators.kmeans import RESTARTS, fit_kmeans_all, weighted_points
+from tradewind.operators.silhouette import bounds_of_models, measure
 from tradewind.operators.stats import median_impute
 from tradewind.session import materialize
 from tradewind.sources.schemas import FEATURE_COLUMNS
@@ -164,81 +165,35 @@ def _silhouette() -> Column:
     return F.when((F.col("n") > 1) & (largest > 0), (F.col("b") - F.col("a")) / largest).otherwise(F.lit(0.0))
 
 
-def silhouette_euclidean(df: DataFrame, key: str, features: str, label: str, block_rows: int = 4096) -> DataFrame:
-    """Mean silhouette on Euclidean distance, exact.
-
-    This measure needs all distances. Rows are hashed into blocks of bounded
-    size and every pair of blocks is one task, which returns a sum of distances
-    per (row, cluster); distances themselves never leave it. The work grows with
-    the square of the rows: prefer :func:`silhouette_squared` for large inputs.
-    """
-    rows = df.select(F.col(key).alias("id"), F.col(label).alias("label"), F.col(features).alias("x"))
-    blocks = max(1, math.ceil(rows.count() / block_rows))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    # Columns are renamed to themselves on either side, so that the sides of a group differ.
-    carried = lambda: [F.col(c).alias(c) for c in ("id", "label", "x")]
-    left = rows.select(F.col("block").alias("i"), every.alias("j"), *carried())
-    right = rows.select(every.alias("i"), F.col("block").alias("j"), *carried())
-    sums = (
-        left.groupBy("i", "j").cogroup(right.groupBy("i", "j"))
-        .applyInPandas(_distance_sums, "id long, own long, label long, total double")
-        .groupBy("id", "own", "label").agg(F.sum("total").alias("total"))
-    )
-    sizes = df.groupBy(F.col(label).cast("long").alias("label")).agg(F.count(F.lit(1)).alias("size"))
-    means = sums.join(sizes, "label")
-    is_own = F.col("label") == F.col("own")
-    per_row = means.groupBy("id").agg(
-        F.max(F.when(is_own, F.col("size"))).alias("n"),
-        F.max(F.when(is_own & (F.col("size") > 1), F.col("total") / (F.col("size") - 1))).alias("a"),
-        F.min(F.when(~is_own, F.col("total") / F.col("size"))).alias("b"),
-    )
-    return per_row.agg(F.avg(_silhouette()).alias("silhouette"))
-
-
-def _distance_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    columns = ["id", "own", "label", "total"]
-    if left.empty or right.empty:
-        return pd.DataFrame({c: pd.Series(dtype="float64" if c == "total" else "int64") for c in columns})
-    a, b = np.stack(left["x"].to_numpy()), np.stack(right["x"].to_numpy())
-    d2 = np.zeros((len(a), len(b)))
-    for i in range(a.shape[1]):
-        d2 += (a[:, i, None] - b[None, :, i]) ** 2
-    distances = np.sqrt(d2)
-    labels = right["label"].to_numpy()
-    found = np.unique(labels)
-    totals = np.stack([distances[:, labels == value].sum(axis=1) for value in found], axis=1)
-    return pd.DataFrame(
-        {
-            "id": np.repeat(left["id"].to_numpy(), len(found)),
-            "own": np.repeat(left["label"].to_numpy(), len(found)),
-            "label": np.tile(found, len(a)),
-            "total": totals.ravel(),
-        }
-    )
-
-
 @dataclass
 class KSearch:
-    """Inertia and silhouette per tried cluster number, and the chosen one."""
+    """Inertia and Euclidean silhouette, with its bounds, per tried cluster number, and the chosen one."""
 
     scores: DataFrame
     best_k: int
 
 
 def find_optimal_k(df: DataFrame, columns: list[str], max_k: int = 8, restarts: int = RESTARTS) -> KSearch:
-    """Try k = 2..max_k on standardised columns; the largest silhouette wins, the smallest k on ties.
+    """Try k = 2..max_k on standardised columns; the largest Euclidean silhouette wins, the smallest k on ties.
 
-    The silhouette is the linear-time one on squared distances.
+    All silhouettes are bounded together first. Only where bounds of several k overlap with those of the best are these measured exactly;
+    for the others the middle of the bounds is given.
     """
     points = weighted_points(df, columns)
+    fits = fit_kmeans_all(points, list(range(2, max_k + 1)), restarts)
+    bounds = bounds_of_models(points, {k: fit.centroids for k, fit in fits.items()})
+    least = max((low for low, _ in bounds.values()), default=0.0)
+    contenders = [k for k, (_, high) in bounds.items() if high >= least]
     rows = []
-    for k, fit in fit_kmeans_all(points, list(range(2, max_k + 1)), restarts).items():
-        assigned = kmeans_assign(points, F.col("x"), fit.centroids, "cluster")
-        score = silhouette_squared(assigned, "x", "cluster", "weight").first()["silhouette_squared"]
-        rows.append((k, float(fit.inertia), float(score or 0.0)))
-    best = max(rows, key=lambda r: (r[2], -r[0]))[0] if rows else FALLBACK_K
-    return KSearch(df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_squared double"), best)
+    for k, fit in fits.items():
+        low, high = bounds.get(k, (0.0, 0.0))
+        value = (low + high) / 2
+        if k in contenders and len(contenders) > 1:
+            assigned = kmeans_assign(points, F.col("x"), fit.centroids, "cluster")
+            value = low = high = measure(assigned, "x", "cluster", "weight").value
+        rows.append((k, float(fit.inertia), value, low, high))
+    best = max(rows, key=lambda r: (r[0] in contenders, r[2], -r[0]))[0] if rows else FALLBACK_K
+    return KSearch(df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, silhouette_low double, silhouette_high double"), best)
 
 
 def covariance_matrix(df: DataFrame, columns: list[str]) -> DataFrame:

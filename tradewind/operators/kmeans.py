@@ -97,9 +97,12 @@ def _draw(candidates: np.ndarray, size: int, d: int, salt: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best, points = np.zeros(0), np.zeros((0, d))
         for x, w in _vectors(batches, d):
-            share = w * _distances(x, candidates).min(axis=1) if len(candidates) else w
-            # Rounding leaves small distances between equal vectors.
-            some = np.flatnonzero(share > 1e-12 * w * (1 + (x * x).sum(axis=1)))
+            share = w
+            if len(candidates):
+                nearest = _distances(x, candidates).min(axis=1)
+                # Rounding leaves small distances between equal vectors.
+                share = w * np.where(nearest > 1e-14 * (1 + (x * x).sum(axis=1)), nearest, 0)
+            some = np.flatnonzero(share > 0)
             time = -np.log(uniform(x[some], salt)) / share[some]
             best, points = np.concatenate([best, time]), np.concatenate([points, x[some]])
             if len(best) > size:

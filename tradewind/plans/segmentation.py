@@ -45,7 +45,7 @@ def run_segmentation(
             search = cl.find_optimal_k(scaled, z, max_k, restarts)
             scores, k = search.scores, search.best_k
         else:
-            scores = spark.createDataFrame([], "k int, inertia double, silhouette_squared double")
+            scores = spark.createDataFrame([], "k int, inertia double, silhouette double, silhouette_low double, silhouette_high double")
         kmeans = fit_kmeans(weighted_points(scaled, z), k, restarts)
         projection = cl.fit_pca(scaled, z)
         assigned = cl.kmeans_assign(scaled.select(F.array(*z).alias("x")), F.col("x"), kmeans.centroids, "cluster")
