@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from conformance.fixtures import REFERENCE_DATE, staging
 from conformance.registry import query
 from conformance.star import star
 from tradewind.functions import text
-from tradewind.operators import ranking, reports, rfm, stats
+from tradewind.operators import keys, ranking, reports, rfm, stats
 from tradewind.plans import marts, warehouse
+from tradewind.session import materialize, shared_folder
 
 _MONTH = """year_month, year, month, month_name, total_orders, total_items, CAST(total_revenue AS DOUBLE) AS total_revenue,
     CAST(total_freight AS DOUBLE) AS total_freight, avg_order_value, CAST(avg_items_per_order AS DOUBLE) AS avg_items_per_order,
@@ -353,6 +356,23 @@ def surrogate_key(spark, sf_dir):
     return keyed.select("line_sk", "order_id", "order_item_id", "product_id", "seller_id")
 
 
+_LINE = ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price"]
+_EARLIER = "CAST(order_id AS BIGINT) % 3 <> 1"
+
+
+@query("surrogate_key_later_load", f"""SELECT CASE WHEN {_EARLIER} THEN 0 ELSE (SELECT count(*) FROM stg_order_items WHERE {_EARLIER}) END
+        + row_number() OVER (PARTITION BY {_EARLIER} ORDER BY {', '.join(_LINE)}) AS line_sk, order_id, order_item_id, product_id
+    FROM stg_order_items""")
+def surrogate_key_later_load(spark, sf_dir):
+    """A third of the orders comes later, in between: earlier lines keep their keys, the others follow."""
+    items = materialize(staging(spark, sf_dir)["stg_order_items"].withColumn("row", F.monotonically_increasing_id()), "lines")
+    store = keys.KeyStore(spark, f"{shared_folder(spark)}/keys-{uuid.uuid4().hex}")
+    for rows in (items.where(_EARLIER), items):
+        keyed, given = keys.stable_key(rows, "line_sk", _LINE[:2], store.known("lines"), _LINE[2:], "row")
+        store.add("lines", given)
+    return keyed.select("line_sk", "order_id", "order_item_id", "product_id")
+
+
 @query("rank_first", "SELECT customer_sk, row_number() OVER (ORDER BY frequency_orders, customer_sk) AS rank FROM rfm_data")
 def rank_first(spark, sf_dir):
     data = rfm.rfm_extract(*_rfm_parts(spark, sf_dir)).select("customer_sk", "frequency_orders")

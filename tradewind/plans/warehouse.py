@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradewind.operators.keys import KeyStore, stable_key
 from tradewind.operators.quality import ROW_RULES
 from tradewind.operators.ranking import surrogate_key
 from tradewind.plans import dimensions, facts, marts
@@ -99,10 +100,17 @@ def flagged_rows(table: str, rows: DataFrame) -> DataFrame:
     )
 
 
-def keyed(table: str, rows: DataFrame) -> DataFrame:
-    """Rows numbered in natural-key order; where that may repeat, the frozen row number is the last tie-break."""
+def keyed(table: str, rows: DataFrame, keys: KeyStore | None = None) -> DataFrame:
+    """Rows numbered in natural-key order; where that may repeat, the frozen row number is the last tie-break.
+
+    With ``keys``, rows of earlier loads keep their number and the others are numbered after the greatest.
+    """
     name, natural, ties = KEYS[table]
-    return surrogate_key(rows, name, natural, [*ties, _ROW]).drop(_ROW)
+    if keys is None:
+        return surrogate_key(rows, name, natural, [*ties, _ROW]).drop(_ROW)
+    numbered, given = stable_key(rows, name, natural, keys.known(table), ties, _ROW if table in REPEATING else None)
+    keys.add(table, given)
+    return numbered.drop(_ROW)
 
 
 # Build order of each layer.
@@ -113,14 +121,14 @@ STEPS = {
 }
 
 
-def split_table(table: str, tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame | None]:
+def split_table(table: str, tables: dict[str, DataFrame], keys: KeyStore | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Loaded rows of one table, numbered where it has a surrogate key, and the rejected ones with ``broken_rules``."""
     rows = unkeyed(table, tables)
     if table not in ROW_RULES or table.startswith("agg_"):
         return rows, None
     flagged = flagged_rows(table, rows)
     valid = flagged.where("broken_rules = ''").drop("broken_rules", *facts.SOURCE_KEYS.get(table, []))
-    return keyed(table, valid) if table in KEYS else valid.drop(_ROW), flagged.where("broken_rules <> ''").drop(_ROW)
+    return keyed(table, valid, keys) if table in KEYS else valid.drop(_ROW), flagged.where("broken_rules <> ''").drop(_ROW)
 
 
 def build_table(table: str, tables: dict[str, DataFrame]) -> DataFrame:
@@ -137,6 +145,7 @@ def run_warehouse(
     staging: dict[str, DataFrame | None],
     sink: Callable[[str, str, DataFrame], tuple[DataFrame, int]],
     refused: dict[str, DataFrame] | None = None,
+    keys: KeyStore | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Build everything; returns the written tables and a summary of the steps.
 
@@ -161,7 +170,7 @@ def run_warehouse(
     with run_folder(spark):
         for layer, names in STEPS.items():
             for table in names:
-                loaded, rejected = split_table(table, tables)
+                loaded, rejected = split_table(table, tables, keys)
                 left_out = sink("rejected", table, rejected)[1] if rejected is not None else 0
                 tables[table], n = sink(layer, table, loaded)
                 summary.append((layer, table, n, left_out, "loaded"))
