@@ -127,13 +127,27 @@ class Index:
         weights = items.weights(hashes.reshape(-1))[0].reshape(hashes.shape)
         self.lightest = float(weights.sum(axis=1).min())
         self.prints = simhash(hashes, weights)
+        self.near = items.radius // INDEXES
         self.tables = []
         for b in range(INDEXES):
             part = self._part(self.prints, b)
             order = np.argsort(part, kind="stable")
-            self.tables.append((order, np.searchsorted(part[order], np.arange((1 << WIDTH) + 1))))
-        near = items.radius // INDEXES
-        self.flips = np.array([sum(1 << i for i in c) for r in range(near + 1) for c in combinations(range(WIDTH), r)], np.int64)
+            values, first = np.unique(part[order], return_index=True)
+            self.tables.append((order, values, np.append(first, len(order))))
+
+    @cached_property
+    def flips(self) -> np.ndarray:
+        """All differences of a 16-bit value to those near it."""
+        return np.array([sum(1 << i for i in c) for r in range(self.near + 1) for c in combinations(range(WIDTH), r)], np.int64)
+
+    def _near(self, part: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (window, place in ``values``) that differ in few bits: by comparing all, or by looking up all near values where these are fewer."""
+        if len(values) <= sum(math.comb(WIDTH, r) for r in range(self.near + 1)):
+            return np.nonzero(np.bitwise_count(part[:, None] ^ values) <= self.near)
+        wanted = part[:, None] ^ self.flips
+        at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
+        window, flip = np.nonzero(values[at] == wanted)
+        return window, at[window, flip]
 
     @staticmethod
     def _part(prints: np.ndarray, b: int) -> np.ndarray:
@@ -142,14 +156,12 @@ class Index:
     def search(self, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pairs (window, item, distance) with a distance of at most ``radius``, each once."""
         pairs = []
-        for b, (order, first) in enumerate(self.tables):
+        for b, (order, values, first) in enumerate(self.tables):
             for some in range(0, len(prints), 256):
-                values = self._part(prints[some : some + 256], b)[:, None] ^ self.flips
-                counts = first[values + 1] - first[values]
-                window, flip = np.nonzero(counts)
-                n = counts[window, flip]
-                at = np.repeat(first[values[window, flip]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                pairs.append((np.repeat(window + some, n), order[at]))
+                window, at = self._near(self._part(prints[some : some + 256], b), values)
+                n = first[at + 1] - first[at]
+                place = np.repeat(first[at], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                pairs.append((np.repeat(window + some, n), order[place]))
         window, item = (np.concatenate(x) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 2
         both = np.unique(np.stack([window, item], axis=1).reshape(-1, 2), axis=0)
         distance = np.bitwise_count(prints[both[:, 0]] ^ self.prints[both[:, 1]])
