@@ -1,8 +1,12 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tradewind.llm.arrays import blocks
 from tradewind.llm.packing import Encoder, hilbert_key, packed
 
 DOCS = "doc_id long, text string"
@@ -17,7 +21,7 @@ def test_hilbert_neighbours_touch():
         assert (np.abs(np.diff(line, axis=0)).sum(axis=1) == 1).all()
 
 
-ODD = ["", " ", "  a", "a  b", "a \n b", "\n\nx y", " x", "x ", "x   ", "don't we'll", "a b  c", "日本 語", "1 2  33", "tab\t end", "a \t\tb", "ﬁ ñ é è", "<|endoftext|> a", "a \x1c b", "　 x"]
+ODD = ["", " ", "  a", "a  b", "a \n b", "\n\nx y", " x", "x ", "x   ", "don't we'll", "a b  c", "日本 語", "1 2  33", "tab\t end", "a \t\tb", "ﬁ ñ é è", "<|endoftext|> a", "a b<|endoftext|>c  d <|endoftext|>", "<|endoftext| > x", "a \x1c b", "　 x"]
 
 
 def reference_ids(texts):
@@ -25,18 +29,42 @@ def reference_ids(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
+def encoded(encoder, texts):
+    return [np.frombuffer(x, encoder.width).tolist() for part in blocks(pa.array(texts, pa.string())) for x in encoder.encode(part)]
+
+
+ENCODER = Encoder(None)
+
+
 def test_remembered_words_give_the_tokenizers_ids():
     import duckdb
 
     texts = ODD + [r[0] for r in duckdb.sql("select text from '/root/testdata/sf0.01/documents.parquet'").fetchall()]
     encoder = Encoder(None)
     for _ in range(2):
-        got = [np.frombuffer(x, encoder.width).tolist() for x in encoder.encode([*texts, None])]
-        assert got == [*reference_ids(texts), []]
+        assert encoded(encoder, [*texts, None]) == [*reference_ids(texts), []]
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.lists(st.one_of(st.none(), st.text("ab'.5 \n\t\u00a0\u3000é漢\x1c\x85\u2003", max_size=25)), max_size=5))
+def test_odd_spaces(texts):
+    assert encoded(ENCODER, texts) == reference_ids(texts)
+
+
+def test_a_special_token_in_a_text_is_one_id_and_memory_stays_bounded(monkeypatch):
+    from tradewind.llm import packing
+
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    encoder = Encoder(None)
+    ids = lambda t: encoded(encoder, [t])[0]
+    assert 50256 in ids("one <|endoftext|> two")
+    for i in range(40):
+        text = "the same words again " + " ".join(f"w{i}x{j}" for j in range(30))
+        assert [ids(text)] == reference_ids([text])
+        assert len(encoder.keys) < 120 and len(encoder.tokens) < 1000
 
 
 def check(rows, pieces, length):

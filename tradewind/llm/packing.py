@@ -18,11 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.arrays import U64, blocks, mix, written
+from tradewind.llm.arrays import BYTE_CODE, U64, Text, blocks, mix, prefix_sums, span_hashes, written
 
 DIMENSIONS, LEVELS = 4, 8
-#: Different words (with their spaces) whose tokens one Python worker remembers; then it starts afresh.
+#: Different words (with their spaces) whose tokens one Python worker remembers; beyond it, those not met for longest are forgotten.
 REMEMBERED = 600_000
+_BLOCK = 2 << 20
 
 
 def hilbert_key(points: np.ndarray, levels: int = LEVELS) -> np.ndarray:
@@ -53,28 +54,33 @@ def hilbert_key(points: np.ndarray, levels: int = LEVELS) -> np.ndarray:
     return key
 
 
-def curve_keys(column: pa.Array, dimensions: int = DIMENSIONS, levels: int = LEVELS) -> Iterator[np.ndarray]:
+def curve_keys(text: Text, dimensions: int = DIMENSIONS, levels: int = LEVELS) -> np.ndarray:
     """Hilbert keys of texts: signed sums of word hashes in each dimension, scaled to unit variance, cut into 2^levels steps."""
-    for text in blocks(column):
-        words = text.words(lower=True)
-        counts = np.diff(words.first)
-        sums = np.zeros((text.rows, dimensions))
-        full = np.flatnonzero(counts)
-        signs = mix(words.hash)
-        for d in range(dimensions):
-            sign = ((signs >> U64(d)) & U64(1)).astype(np.int64) * 2 - 1
-            if len(full):
-                sums[full, d] = np.add.reduceat(sign, words.first[:-1][full])
-        scaled = sums / np.sqrt(np.maximum(counts, 1))[:, None]
-        steps = np.floor((np.clip(scaled, -4, 4) + 4) / 8 * (1 << levels)).clip(0, (1 << levels) - 1)
-        yield hilbert_key(steps.astype(np.int64), levels)
+    words = text.words(lower=True)
+    counts = np.diff(words.first)
+    sums = np.zeros((text.rows, dimensions))
+    full = np.flatnonzero(counts)
+    signs = mix(words.hash)
+    for d in range(dimensions):
+        sign = ((signs >> U64(d)) & U64(1)).astype(np.int64) * 2 - 1
+        if len(full):
+            sums[full, d] = np.add.reduceat(sign, words.first[:-1][full])
+    scaled = sums / np.sqrt(np.maximum(counts, 1))[:, None]
+    steps = np.floor((np.clip(scaled, -4, 4) + 4) / 8 * (1 << levels)).clip(0, (1 << levels) - 1)
+    return hilbert_key(steps.astype(np.int64), levels)
+
+
+#: What may not follow the space before a word: white space, or the first byte of a code point that may be some.
+_NO_WORD = np.zeros(256, bool)
+_NO_WORD[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
 class Encoder:
     """Token ids of texts; the tokens of a word, with the space before it, are computed once and remembered.
 
     A space followed by anything but white space always starts a new pre-token in byte-level vocabularies of this
-    family, so a text is the line of its pieces cut there.
+    family, so a text is the line of its words cut there. A text with other spaces, or with a special token, which the tokenizer looks for
+    first, is encoded as a whole. Words are told apart by 64-bit hashes.
     """
 
     def __init__(self, path: str | None):
@@ -88,66 +94,112 @@ class Encoder:
 
             path = public_tokenizers.path("byte_bpe_50k.json")
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         vocabulary = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
-        self.known: dict[str, bytes] = {}
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Sorted hashes of the words known, where their tokens begin in ``tokens``, how many they are, and the block that had the word last.
+        self.keys, self.first, self.size, self.used = np.zeros(0, U64), *np.zeros((3, 0), np.int64)
+        self.tokens = np.zeros(0, self.width)
+        self.block = 0
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
 
-    @staticmethod
-    def _pieces(text: str) -> list[str]:
-        """The text cut before each space that is followed by something else than white space; the first piece keeps none."""
-        parts = text.split(" ")
-        if "" in parts or any(p[0].isspace() for p in parts[1:]):
-            out = [parts[0]]
-            for p in parts[1:]:
-                if p and not p[0].isspace():
-                    out.append(p)
-                else:
-                    out[-1] += " " + p
-            return out
-        return parts
-
-    def _learn(self, new: list[str]) -> None:
-        """Tokens of many pieces from one call; a token that starts with a space starts the next piece."""
-        simple = [w for w in new if " " not in w]
-        for w in new:
-            if " " in w:
-                self.known[w] = self._ids(" " + w)
-        for i in range(0, len(simple), 2000):
-            some = simple[i : i + 2000]
-            ids = np.array(self.tokenizer.encode("".join([" " + w for w in some]), add_special_tokens=False).ids, np.int64)
-            first = np.flatnonzero(self.spaced[ids])
-            if len(first) != len(some):
-                for w in some:
-                    self.known[w] = self._ids(" " + w)
+    def _tokens(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of words that follow a space, one word after another, and how many each has; from few calls.
+
+        Words are set side by side; a token that starts with a space starts the next word.
+        """
+        length = end - start + 1
+        edges = np.concatenate([[0], np.cumsum(length)])
+        raw = data[np.repeat(start - 1 - edges[:-1], length) + np.arange(edges[-1])].tobytes()
+        cuts = [*range(0, len(start), 2000), len(start)]
+        lines = self.tokenizer.encode_batch_fast([raw[edges[a] : edges[b]].decode() for a, b in zip(cuts, cuts[1:])], add_special_tokens=False)
+        ids, sizes = [np.zeros(0, self.width)], [np.zeros(0, np.int64)]
+        for line, a, b in zip(lines, cuts, cuts[1:]):
+            got = np.array(line.ids, np.int64)
+            heads = np.flatnonzero(self.spaced[got])
+            if len(heads) == b - a:
+                ids.append(got.astype(self.width))
+                sizes.append(np.diff(heads, append=len(got)))
                 continue
-            data, ends = ids.astype(self.width).tobytes(), np.append(first[1:], len(ids)) * self.width.itemsize
-            start = 0
-            for w, end in zip(some, ends.tolist()):
-                self.known[w] = data[start:end]
-                start = end
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as bytes; a null is an empty text."""
-        cut = [self._pieces(t) if t else [] for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        self._learn(list({p for parts in cut for p in parts[1:] if p not in known}))
+            for i in range(a, b):
+                ids.append(np.frombuffer(self._ids(raw[edges[i] : edges[i + 1]].decode()), self.width))
+                sizes.append(np.array([len(ids[-1])]))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        return at, (self.keys[at] == keys) if len(self.keys) else np.zeros(len(keys), bool)
+
+    def _remember(self, keys: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Places of different words among those known, given their sorted hashes; new ones are added."""
+        self.block += 1
+        if len(self.keys) > REMEMBERED:
+            kept = self.used > np.median(self.used)
+            n = self.size[kept]
+            self.tokens = _gathered(self.tokens, self.first[kept], n)
+            self.keys, self.size, self.used, self.first = self.keys[kept], n, self.used[kept], np.cumsum(n) - n
+        at, known = self._places(keys)
+        if not known.all():
+            new = ~known
+            tokens, size = self._tokens(data, start[new], end[new])
+            first = len(self.tokens) + np.cumsum(size) - size
+            self.tokens = np.concatenate([self.tokens, tokens])
+            keys_now = np.concatenate([self.keys, keys[new]])
+            order = np.argsort(keys_now, kind="stable")
+            self.keys = keys_now[order]
+            self.first, self.size = np.concatenate([self.first, first])[order], np.concatenate([self.size, size])[order]
+            self.used = np.concatenate([self.used, np.zeros(len(size), np.int64)])[order]
+            at, _ = self._places(keys)
+        self.used[at] = self.block
+        return at
+
+    def encode(self, text: Text) -> list[bytes]:
+        """Ids of each row as bytes."""
+        data, offsets = text.data, text.offsets
+        if not len(data):
+            return [b""] * text.rows
+        space = data == 0x20
+        last = offsets[1:][np.diff(offsets) > 0] - 1
+        odd = space & np.append(_NO_WORD[data[1:]], True)
+        odd[last] = space[last]
+        whole = np.diff(np.concatenate([[0], np.cumsum(odd)])[offsets]) > 0
+        raw = data.tobytes()
+        for token in self.special:
+            at = raw.find(token)
+            while at >= 0:
+                whole[np.searchsorted(offsets, at, "right") - 1] = True
+                at = raw.find(token, at + 1)
+        row = np.searchsorted(offsets, np.flatnonzero(space), "right") - 1
+        start = np.flatnonzero(space)[~whole[row]] + 1
+        row = row[~whole[row]]
+        end = np.minimum(np.append(start[1:] - 1, len(data)), offsets[1:][row])
+        hashes = span_hashes(prefix_sums(BYTE_CODE[data]), start, end) + mix((end - start).astype(U64))
+        keys, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+        place = self._remember(keys, data, start[at], end[at])[which]
+        ids = _gathered(self.tokens, self.first[place], self.size[place])
+        edges = np.concatenate([[0], np.cumsum(self.size[place])])[np.searchsorted(row, np.arange(text.rows + 1))].tolist()
+        heads = np.concatenate([start - 1, [len(data)]])[np.searchsorted(start, offsets[:-1] + 1)]
+        heads = np.minimum(heads, offsets[1:]).tolist()
         out = []
-        for parts in cut:
-            if not parts:
-                out.append(b"")
-                continue
-            out.append((self._ids(parts[0]) if parts[0] else b"") + b"".join([known[p] for p in parts[1:]]))
+        for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+            if whole[i]:
+                out.append(self._ids(raw[a:b].decode()))
+            else:
+                head = self._ids(raw[a : heads[i]].decode()) if heads[i] > a else b""
+                out.append(head + ids[edges[i] : edges[i + 1]].tobytes())
         return out
 
 
+def _gathered(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Stretches of an array one after another."""
+    before = np.cumsum(size) - size
+    return values[np.repeat(first - before, size) + np.arange(size.sum())]
+
+
 _ENCODERS: dict[str | None, Encoder] = {}
 
 
@@ -165,12 +217,11 @@ def _tokenise(path: str | None, end: int):
         from_text = encoder(path)
         tail = np.array([end], from_text.width).tobytes()
         for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
-                ids = [x + tail for x in from_text.encode(part.column(1).to_pylist())]
-                keys = np.concatenate(list(curve_keys(part.column(1))))
+            for part in blocks(batch.column(1), _BLOCK):
+                ids = [x + tail for x in from_text.encode(part)]
                 counts = np.array([len(x) // from_text.width.itemsize for x in ids])
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(keys), pa.array(counts), pa.array(ids, pa.binary())], schema=schema)
+                doc_id = batch.column(0).slice(part.first, part.rows).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([doc_id, pa.array(curve_keys(part)), pa.array(counts), pa.array(ids, pa.binary())], schema=schema)
 
     return run, "doc_id long, key long, tokens long, ids binary"
 
