@@ -94,6 +94,11 @@ def run_folder(spark: SparkSession) -> Iterator[str]:
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def intermediates(spark: SparkSession) -> str:
+    """The folder of the run that is going on, or the shared folder."""
+    return _RUN.get() or shared_folder(spark)
+
+
 def materialize(df: DataFrame, label: str = "table", keep: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -103,7 +108,7 @@ def materialize(df: DataFrame, label: str = "table", keep: bool = False) -> Data
     filter pushdown and true sizes for the readers, and survives executor loss.
     """
     spark = df.sparkSession
-    folder = None if keep else _RUN.get()
-    path = f"{folder or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = shared_folder(spark) if keep else intermediates(spark)
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
