@@ -65,3 +65,10 @@ def test_odd_rows(spark):
     assert predicted(empty).collect() == [] and identified(empty).collect() == []
     unlabelled = spark.createDataFrame([(1, "words", None)], DOCS)
     assert predicted(unlabelled).first()["lang_pred"] == "und"
+    unlabelled = spark.createDataFrame([(1, "words", None), (2, "12", None), (3, None, None), (None, "more", None)], DOCS)
+    assert sorted(r["text"] for r in identified(unlabelled).collect()) == ["more", "words"]
+
+
+def test_every_label_is_learned(spark):
+    rows = [(i, f"{chr(0x4E00 + i % 300) * 9} {i % 300}", f"l{i % 300}") for i in range(900)]
+    assert len(train(spark.createDataFrame(rows, DOCS), steps=1).labels) == 300

@@ -1,3 +1,4 @@
+import pytest
 import random
 import re
 
@@ -68,3 +69,11 @@ def test_odd_rows(spark):
     twice = spark.createDataFrame([(1, "cc by nc"), (1, "cc by nc"), (None, "cc by nc")], DOCS)
     assert [r["n_base"] for r in scanned(twice).collect()] == [1, 1, 1]
     assert scanned(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_a_template_that_does_not_fit_is_refused(spark, monkeypatch):
+    from tradewind.llm import licenses
+
+    monkeypatch.setitem(licenses.TEMPLATES, " ".join(f"w{i}" for i in range(65)), "long")
+    with pytest.raises(ValueError):
+        licenses.scanned(spark.createDataFrame([(1, "text")], "doc_id long, text string"))

@@ -112,3 +112,17 @@ def test_ibans_behind_a_code_that_is_none():
     p = Pseudonyms(b"key")
     new, kinds = p.replace("ref AB12 CDEF 1234 DE89370400440532013000 x")
     assert kinds == ["iban"] and "DE89370400440532013000" not in new and new.startswith("ref AB12 CDEF 1234 DE")
+
+
+def test_nothing_is_moved_twice_and_everything_comes_back():
+    there, back = Pseudonyms(b"k"), Pseudonyms(b"k", inverse=True)
+    texts = [
+        "10.0.0.1@corp.com", "212-555-1234@x.com", "2020-01-02@x.org", "4111111111111111@x.com", "mail DE89370400440532013000@bank.de or 10.0.0.1",
+        "Tom@x.com", "tom@X.com", "TOM@x.com", "\u0661\u0662\u0663-\u0664\u0665-\u0666\u0667\u0668\u0669 and 078-05-1120",
+    ]
+    for text in texts:
+        new, kinds = there.replace(text)
+        assert back.replace(new) == (text, kinds)
+    assert there.replace(texts[0])[1] == ["email"] and there.replace(texts[8])[1] == ["ssn"] and there.replace(texts[8])[0][:11] == texts[8][:11]
+    names = {there.replace(t)[0].split("@")[0].lower() for t in texts[5:8]}
+    assert len(names) == 1 and there.replace("TOM@x.com")[0].split("@")[0].isupper()

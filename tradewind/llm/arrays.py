@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from tradewind.session import shared_folder
+from tradewind.session import intermediates
 
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -21,9 +21,12 @@ _LOWER[65:91] += 32
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the shared folder as compressed Parquet and read back, so lineage is cut and executors may be lost."""
+    """Write once to the shared folder as compressed Parquet and read back, so lineage is cut and executors may be lost.
+
+    Inside a :func:`tradewind.session.run_folder` the table goes with the run.
+    """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{intermediates(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -157,10 +157,10 @@ def training_fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 != 0
 
 
-def train(docs: DataFrame, per_language: int = 300, window: int = 1024, languages: int = 256, steps: int = 500) -> Network | None:
+def train(docs: DataFrame, per_language: int = 300, window: int = 1024, steps: int = 500) -> Network | None:
     """Fit on a bounded sample of labelled rows of the training fold.
 
-    Of each of the ``languages`` most frequent labels, about ``per_language`` documents with the least hash of doc_id give one stretch of
+    Of every label, about ``per_language`` documents with the least hash of doc_id give one stretch of
     ``window`` characters at a place given by that hash. Labels are counted first, so that rows beyond three times the wanted number
     are left out by their hash where they are read. Returns None where nothing is labelled.
     """
@@ -169,7 +169,7 @@ def train(docs: DataFrame, per_language: int = 300, window: int = 1024, language
     order = F.xxhash64("id")
     room = F.greatest(F.char_length("text") - F.lit(window), F.lit(0)) + 1
     stretch = F.col("text").substr((F.pmod(order, room) + 1).cast("int"), F.lit(window))
-    counted = chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
+    counted = chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").collect()
     if not counted:
         return None
     reach = [(r["lang"], min((3 * per_language << 64) // r["n"], 1 << 64) - (1 << 63) - 1) for r in counted]
@@ -225,8 +225,14 @@ def predicted(docs: DataFrame, network: Network | None = None) -> DataFrame:
 
 
 def identified(docs: DataFrame, least: float = 0.4, network: Network | None = None) -> DataFrame:
-    """The rows of ``docs`` whose text has a language: it holds a letter and the best label's pooled probability is at least ``least``."""
+    """The rows of ``docs`` whose text has a language: it holds a letter and the best label's pooled probability is at least ``least``.
+
+    Without any labelled row there is nothing to tell languages by, and all texts with a letter stay. A null or empty text goes, a text of
+    any length is read whole, repeated rows are judged alike, columns of any other name are untouched, an empty table gives no rows.
+    """
     network = network or train(docs)
+    if network is None:
+        return docs.where(F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
     name = "_language_"
     while name in docs.columns:
         name += "_"

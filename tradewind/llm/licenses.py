@@ -55,10 +55,12 @@ def _grams(w: Column) -> Column:
 
 
 def _templates(spark: SparkSession) -> DataFrame:
-    """Positions of all template k-grams, at most 60 each and a fixed number of templates."""
+    """Positions of all template k-grams; a template's words have to fit into the 64 bits of a vote."""
     rows = [(i, text, label, base) for i, (text, label, base) in enumerate(
         [(t, x, True) for t, x in PHRASES.items()] + [(t, x, False) for t, x in TEMPLATES.items()]
     )]
+    if long := [text for _, text, _, _ in rows if len(text.split(" ")) > 64]:
+        raise ValueError(f"templates of more than 64 words: {long}")
     frame = spark.createDataFrame(rows, "template int, words string, label string, base boolean")
     frame = frame.withColumn("w", F.split("words", " "))
     return frame.select("template", "label", "base", F.size("w").alias("t_words"), F.posexplode(_grams(F.col("w"))).alias("t_pos", "gram"))

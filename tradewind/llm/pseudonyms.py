@@ -27,12 +27,12 @@ _FIRST_DAY, _LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(209
 # Layouts of the kinds. Where several fit at one place, the first does.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
-    "date": r"(?<![\w.+/-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\w/-]|\.\d)",
-    "ssn": r"(?<![\w.+-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "phone": r"(?<![\w+])(?:\+1[ .-]?|1[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])|(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{2,5}\)?){2,5}(?!\w)",
-    "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)",
-    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
-    "card": r"(?<![\w.+-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])",
+    "date": r"(?<![\w.+/-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![\w/-]|\.[0-9])",
+    "ssn": r"(?<![\w.+-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
+    "phone": r"(?<![\w+])(?:\+1[ .-]?|1[ .-])?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])|(?<![\w+])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,5}\)?){2,5}(?!\w)",
+    "ip": r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9])",
+    "iban": r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
+    "card": r"(?<![\w.+-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![\w-])",
 }
 KINDS = sorted(PATTERNS)
 _EMAIL = re.compile(PATTERNS["email"])
@@ -224,8 +224,10 @@ def _date(text: str, move: Callable) -> str | None:
 
 
 def _email(text: str, move: Callable) -> str | None:
+    """One pseudonym per mailbox however it is written; capitals stay where they are."""
     name, at, host = text.rpartition("@")
-    return _string(name, "email" + host.lower(), move) + at + host
+    new = _string(name.lower(), "email" + host.lower(), move)
+    return "".join(c.upper() if old.isupper() else c for c, old in zip(new, name)) + at + host
 
 
 _KINDS = {"email": _email, "date": _date, "ssn": _ssn, "phone": _phone, "ip": _ip, "iban": _iban, "card": _card}
@@ -253,13 +255,19 @@ class Pseudonyms:
             kinds.append(kind)
             return new
 
+        # Mailboxes and IBANs keep their length; nothing is searched for inside the pseudonym of another kind.
+        spans: list[tuple[int, int]] = []
+
+        def email(m: re.Match) -> str:
+            spans.append(m.span())
+            return found("email", m)
+
         if "@" in text:
-            text = _EMAIL.sub(lambda m: found("email", m), text)
+            text = _EMAIL.sub(email, text)
         if any(c in text for c in string.digits):
-            text, spans = self._ibans(text, kinds)
-            # Digits of a pseudonym are not searched for numbers.
+            text, ibans = self._ibans(text, kinds, spans)
             out, at = [], 0
-            for first, last in [*spans, (len(text), len(text))]:
+            for first, last in [*sorted(spans + ibans), (len(text), len(text))]:
                 for m in _NUMBER.finditer(text, at, first):
                     out += [text[at : m.start()], found(m.lastgroup if m.lastgroup != "gap" else "card", m)]
                     at = m.end()
@@ -268,22 +276,24 @@ class Pseudonyms:
             text = "".join(out)
         return text, kinds
 
-    def _ibans(self, text: str, kinds: list[str]) -> tuple[str, list[tuple[int, int]]]:
-        """The text with pseudonyms for its IBANs, and the places of these."""
+    def _ibans(self, text: str, kinds: list[str], taken: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]]]:
+        """The text with pseudonyms for its IBANs outside the places ``taken``, and their places."""
         out, spans, done, at = [], [], 0, 0
-        while m := _IBAN.search(text, at):
-            for own in _iban_starts(m.group()):
-                new = self.of("iban", own)
-                if new is not None:
-                    at = m.start() + len(own)
-                    out += [text[done : m.start()], new]
-                    spans.append((m.start(), at))
-                    kinds.append("iban")
-                    done = at
-                    break
-            else:
-                # None of it is valid, but an IBAN may begin at a later word of the match.
-                at = m.start() + len(m.group().split(" ")[0])
+        for first, last in [*taken, (len(text), len(text))]:
+            while m := _IBAN.search(text, at, first):
+                for own in _iban_starts(m.group()):
+                    new = self.of("iban", own)
+                    if new is not None:
+                        at = m.start() + len(own)
+                        out += [text[done : m.start()], new]
+                        spans.append((m.start(), at))
+                        kinds.append("iban")
+                        done = at
+                        break
+                else:
+                    # None of it is valid, but an IBAN may begin at a later word of the match.
+                    at = m.start() + len(m.group().split(" ")[0])
+            at = last
         return "".join([*out, text[done:]]), spans
 
 
