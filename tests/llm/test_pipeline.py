@@ -40,3 +40,15 @@ def test_run(spark):
     whole = got.groupBy("doc_id").agg(F.sum("length").alias("n"), F.first("doc_tokens").alias("m"))
     assert whole.count() > 100 and whole.where("n <> m").count() == 0
     assert got.where(F.size("ids") != F.col("length")).count() == 0 and got.agg(F.sum(F.size("ids"))).first()[0] > 0
+
+
+def test_copies_without_an_id_or_with_the_same_one_are_copies(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(None, text), (5, text), (5, text), (None, text), (4, text + " eleven twelve"), (None, ""), (None, None), (7, "other words " * 9), (7, "quite another text of seven words"), (None, "x y z"), (None, "x y z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row_", F.lit("clash")).withColumn("component_id", F.lit(0))
+    kept = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert kept.columns == docs.columns
+    got = sorted(map(repr, ((r["doc_id"], r["text"]) for r in kept.collect())))
+    want = [(5, text), (4, text + " eleven twelve"), (None, ""), (None, None), *rows[7:9], (None, "x y z")]
+    assert got == sorted(map(repr, want))
+    assert corpus_pipeline.near_dedup(spark, docs.limit(0), SF).collect() == []
