@@ -11,7 +11,7 @@ from conformance.registry import query
 from conformance.star import star
 from tradewind.functions import text
 from tradewind.operators import relational
-from tradewind.sources import files, sinks
+from tradewind.sources import files, publication, sinks
 from tradewind.sources.schemas import SOURCE_FILES
 from tradewind.session import shared_folder
 
@@ -164,3 +164,20 @@ def mart_load(spark, sf_dir):
     for _ in range(2):
         sinks.mart_load(mart, database, "agg_monthly_sales")
     return spark.table(f"{database}.agg_monthly_sales").select("year_month", "total_orders")
+
+
+@query("published_load", "SELECT *, TRUE AS is_active FROM dim_seller")
+def published_load(spark, sf_dir):
+    """A second load replaces the first in one step; a third one fails after it has written, and leaves the second whole."""
+    path, name = folder(spark, "published"), f"t{uuid.uuid4().hex[:12]}_"
+    spark.sql(f"CREATE DATABASE {name}dimensions LOCATION '{folder(spark, name)}'")
+    sellers = star(spark, sf_dir)["dim_seller"]
+    for rows in (sellers.where("seller_sk % 3 <> 0"), sellers):
+        with publication.Publication(spark, path, name, catalogue=True) as sink:
+            sink("dimensions", "dim_seller", rows)
+    try:
+        with publication.Publication(spark, path, name, catalogue=True) as sink:
+            sink("dimensions", "dim_seller", sellers.unionAll(sellers))
+    except ValueError:
+        return spark.table(f"{name}dimensions.dim_seller")
+    raise AssertionError("repeated keys were published")
