@@ -6,13 +6,15 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conformance.fixtures import REFERENCE_DATE, staging
+from conformance.fixtures import REFERENCE_DATE, STAGING, staging
 from conformance.registry import query
 from conformance.star import star
 from tradewind.functions import text
 from tradewind.operators import keys, ranking, reports, rfm, stats
 from tradewind.plans import marts, warehouse
+from tradewind.plans.changes import run_changes
 from tradewind.session import materialize, shared_folder
+from tradewind.sources.publication import Publication, published
 
 _MONTH = """year_month, year, month, month_name, total_orders, total_items, CAST(total_revenue AS DOUBLE) AS total_revenue,
     CAST(total_freight AS DOUBLE) AS total_freight, avg_order_value, CAST(avg_items_per_order AS DOUBLE) AS avg_items_per_order,
@@ -505,3 +507,22 @@ def run_load(spark, sf_dir):
     tables = staging(spark, sf_dir)
     _, summary = warehouse.run_warehouse(spark, {t: tables[t] for t in STAGING}, folder_sink(folder(spark, "warehouse")))
     return summary
+
+
+@query("warehouse_changes", f"SELECT sales_agg_sk, new_customers, {_MONTH} FROM agg_monthly_sales")
+def warehouse_changes(spark, sf_dir):
+    """A load of other prices, states and orders, then the changes to the tables as they are: the mart of a whole load."""
+    path, tables = f"{shared_folder(spark)}/changes-{uuid.uuid4().hex}", staging(spark, sf_dir)
+    store = keys.KeyStore(spark, f"{path}-keys")
+    now = {t: tables[t] for t in STAGING}
+    third = lambda c: F.crc32(F.col(c).cast("string")) % 3 == 0
+    before = now | {
+        "stg_order_items": now["stg_order_items"].withColumn("price", F.when(third("order_id"), F.col("price") + 1).otherwise(F.col("price")).cast("decimal(10,2)")),
+        "stg_customers": now["stg_customers"].withColumn("customer_state", F.when(third("customer_id"), "SP").otherwise(F.col("customer_state"))),
+        "stg_orders": now["stg_orders"].where(~third("customer_id")),
+    }
+    with Publication(spark, path) as sink:
+        warehouse.run_warehouse(spark, before, sink, keys=store)
+    with Publication(spark, path) as sink:
+        run_changes(spark, published(spark, path), now, sink, store)
+    return published(spark, path)["marts", "agg_monthly_sales"]

@@ -180,7 +180,12 @@ def product_performance(
     fanout: bool = True,
 ) -> DataFrame:
     """Product metrics with revenue and volume ranks; a zero rating becomes NULL."""
-    metrics = materialize(product_metrics(dim_product, recent_items(items, window_months), reviews, fanout), "metrics")
+    return ranked_products(product_metrics(dim_product, recent_items(items, window_months), reviews, fanout))
+
+
+def ranked_products(metrics: DataFrame) -> DataFrame:
+    """The product mart from the metrics of all products."""
+    metrics = materialize(metrics, "metrics")
     ranked = metrics
     for measure, name in [("last_12_months_revenue", "revenue_rank"), ("last_12_months_items", "volume_rank")]:
         ranked = ranked.join(with_rank(metrics.select("product_sk", measure), measure, "product_sk", name).drop(measure), "product_sk")
