@@ -75,8 +75,10 @@ def test_an_equal_delivery_changes_nothing(spark, loaded):
     folder, keys, sources = loaded
     sink = Publication(spark, folder)
     sink.__enter__()
-    _, summary = run_changes(spark, published(spark, folder), {t: df.repartition(3) for t, df in sources.items()}, sink, keys)
-    assert summary.where("status <> 'unchanged'").isEmpty() and not sink.written
+    refused = {"stg_sellers": spark.createDataFrame([("sellers.csv", 3)], "file string, record long")}
+    _, summary = run_changes(spark, published(spark, folder), {t: df.repartition(3) for t, df in sources.items()}, sink, keys, refused)
+    assert summary.where("status <> 'unchanged'").isEmpty() and list(sink.written) == [("rejected", "stg_sellers")]
+    sink.discard()
 
 
 def test_one_corrected_price_touches_one_order(spark, loaded):

@@ -118,17 +118,21 @@ def run_changes(
     staging: dict[str, DataFrame],
     sink: Callable[[str, str, DataFrame], tuple[DataFrame, int]],
     keys: KeyStore,
+    refused: dict[str, DataFrame] | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Tables after a new delivery, and a summary (layer, table_name, built, status) with the number of rows or keys that were built.
 
     ``stored`` holds the last load as ``publication.published`` gives it, ``staging`` every source table as it is now, ``keys`` the store
     that the last load used. ``sink`` must leave the tables of the last load readable, as ``publication.Publication`` does. A row that
     is gone from the sources goes from the warehouse; an equal delivery changes nothing. A natural key without a value is one key.
+    ``refused`` holds records of this delivery that could not be read; they replace those of the last one.
     """
     configure(spark)
     load = Changes(stored, sink, keys)
     with run_folder(spark):
         changed = {table: load.source(table, staging[table]) for table in STAGING}
+        for table, records in (refused or {}).items():
+            sink("rejected", table, records)
         if any(not changed[t].isEmpty() for t in ("stg_orders", "stg_order_items", "stg_reviews")):
             dates = materialize(warehouse.split_table("dim_date", load.tables, keys)[0], "dates")
             load.put("dimensions", "dim_date", dates, dates.count())
