@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from conformance.ctes import stamp
 from conformance.fixtures import STAGING, read, staging
+from conformance.q_sources import folder
 from conformance.registry import query
 from conformance.star import star
 from tradewind.functions import text
 from tradewind.operators import profiling, quality, relational, reports, rfm, segments, versions
 from tradewind.plans import dimensions, facts, marts
+from tradewind.sources import history
 from tradewind.sources.schemas import DIMENSIONS
 
 # Projection and filter
@@ -86,6 +88,33 @@ def scd1_apply(spark, sf_dir):
     return versions.scd1_apply(history.select(*incoming.columns), incoming, "product_id")
 
 
+@query("scd2_merge", f"SELECT * EXCLUDE (effective_start_date), effective_start_date AS valid_from FROM {_SCD2}")
+def scd2_merge(spark, sf_dir):
+    """The same versions from a stored history of which only the touched buckets are rewritten."""
+    rows, incoming = _versions(spark, sf_dir)
+    stored = history.History.create(rows, folder(spark, "history"), "product_id")
+    stored.append(incoming, F.lit("2002-01-01").cast("timestamp_ntz"))
+    return stored.read().withColumnRenamed("effective_start_date", "valid_from")
+
+
+@query("valid_at", f"""SELECT product_id, product_size_category FROM {_SCD2}
+    WHERE effective_start_date <= '2001-07-01 00:00:00' AND effective_end_date > '2001-07-01 00:00:00'""")
+def valid_at(spark, sf_dir):
+    rows, incoming = _versions(spark, sf_dir)
+    stored = history.History.create(rows, folder(spark, "history"), "product_id")
+    stored.append(incoming, F.lit("2002-01-01").cast("timestamp_ntz"))
+    return stored.at(F.lit("2001-07-01").cast("timestamp_ntz")).select("product_id", "product_size_category")
+
+
+@query("scd1_merge", """SELECT product_id, CASE WHEN product_size_category = 'Small' THEN 'Tiny' ELSE product_size_category END AS product_size_category,
+    CASE WHEN product_size_category = 'Small' THEN md5(record_hash) ELSE record_hash END AS record_hash FROM dim_product""")
+def scd1_merge(spark, sf_dir):
+    rows, incoming = _versions(spark, sf_dir)
+    stored = history.History.create(rows.select(*incoming.columns), folder(spark, "history"), "product_id")
+    stored.overwrite(incoming)
+    return stored.read()
+
+
 @query("positive_monetary", "SELECT customer_sk, monetary_value FROM rfm WHERE monetary_value > 0")
 def positive_monetary(spark, sf_dir):
     return relational.positive(_metrics(star(spark, sf_dir)), "monetary_value").select("customer_sk", "monetary_value")
@@ -139,7 +168,8 @@ def label_contains(spark, sf_dir):
     return rows.agg((F.sum(value).cast("double") / F.count(F.lit(1))).alias("mean_value"))
 
 
-@query("seeded_sample")
+@query("seeded_sample", """SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM orders
+    ORDER BY md5('42:' || o_orderkey), o_orderkey LIMIT 1000""")
 def seeded_sample(spark, sf_dir):
     return relational.seeded_sample(read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 1000)
 

@@ -46,22 +46,21 @@ def label_contains(df: DataFrame, label: str, part: str) -> DataFrame:
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows chosen by a seeded hash of a unique key; the same rows every time.
+    """``n`` rows chosen by a seeded hash of a unique key; the same rows every time, on any engine.
 
-    The rows with the ``n`` smallest hashes are wanted. Most rows are refused by
-    a threshold that leaves about ``n`` of them, so the final sort is small; the
-    threshold is raised until at least ``n`` rows pass, which keeps it exact.
+    The rows with the ``n`` smallest md5 values of ``seed:key`` are wanted. One pass over the key alone counts the rows by the first 16 bits;
+    the counts tell the last of these ranges that is needed, so the sort gets ``n`` rows and the rest of one range.
+    A key that is missing is hashed as an empty text; of equal keys any come first.
     """
-    total = df.count()
-    wanted = min(n, total)
-    hashed = df.withColumn("_hash", F.xxhash64(F.col(key), F.lit(seed)))
-    share = min(1.0, (wanted + 10 * wanted**0.5 + 100) / max(total, 1))
-    while True:
-        limit = int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1
-        passed = hashed.where(F.col("_hash") <= F.lit(limit))
-        if share >= 1 or passed.count() >= wanted:
-            return passed.orderBy("_hash", key).limit(n).drop("_hash")
-        share = min(1.0, share * 2)
+    name = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")))
+    hashed = df.withColumn("_hash", F.md5(name))
+    counts = hashed.groupBy(F.substring("_hash", 1, 4).alias("range")).count().orderBy("range").collect()
+    total, last = 0, ""
+    for row in counts:
+        total, last = total + row["count"], row["range"]
+        if total >= n:
+            break
+    return hashed.where(F.substring("_hash", 1, 4) <= F.lit(last)).orderBy("_hash", key).limit(n).drop("_hash")
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
