@@ -389,6 +389,38 @@ CTES["dense_pairs"] = f"""
     SELECT a.customer_sk AS a, b.customer_sk AS b FROM rfm_scaled a JOIN rfm_scaled b
     ON {_squared(['a.' + z for z in _Z], ['b.' + z for z in _Z])} <= 0.8 * 0.8"""
 CTES["dense_core"] = "SELECT a AS customer_sk FROM dense_pairs GROUP BY a HAVING count(*) >= 10"
+# The least label of a component reaches every node of it over nodes that are greater.
+CTES["dense_clusters"] = """
+    SELECT customer_sk, dense_rank() OVER (ORDER BY root) - 1 AS cluster FROM (
+        WITH RECURSIVE links AS (
+            SELECT p.a, p.b FROM dense_pairs p JOIN dense_core x ON p.a = x.customer_sk JOIN dense_core y ON p.b = y.customer_sk WHERE p.a <> p.b),
+        reached(root, node) AS (
+            SELECT customer_sk, customer_sk FROM dense_core
+            UNION SELECT r.root, l.b FROM reached r JOIN links l ON r.node = l.a WHERE l.b > r.root)
+        SELECT node AS customer_sk, min(root) AS root FROM reached GROUP BY node)"""
+
+
+def _component(matrix: str) -> str:
+    """Dominant eigenvector of a one-row ``matrix(m)`` by power iteration, its largest loading positive, with its eigenvalue."""
+    start = [1 / (i + 1) for i in range(len(_Z))]
+    return f"""
+    SELECT m, list_transform(v, lambda x: x * CASE WHEN list_max(v) >= -list_min(v) THEN 1 ELSE -1 END) AS v, size AS eigenvalue FROM (
+        WITH RECURSIVE steps(i, m, v, size) AS (
+            SELECT 0, m, {start}, CAST(1 AS DOUBLE) FROM {matrix}
+            UNION ALL SELECT i + 1, m, list_transform(w, lambda x: x / sqrt(list_dot_product(w, w))), sqrt(list_dot_product(w, w))
+            FROM (SELECT i, m, list_transform(m, lambda r: list_dot_product(r, v)) AS w FROM steps WHERE i < 3000))
+        SELECT m, v, size FROM steps WHERE i = 3000)"""
+
+
+CTES["covariances"] = f"""
+    SELECT [{', '.join('[' + ', '.join(f'covar_pop({a}, {b})' for b in _Z) + ']' for a in _Z)}] AS m FROM rfm_scaled"""
+CTES["component_1"] = _component("covariances")
+CTES["deflated"] = """
+    SELECT list_transform(m, lambda r, i: list_transform(r, lambda x, j: x - eigenvalue * v[i] * v[j])) AS m FROM component_1"""
+CTES["component_2"] = _component("deflated")
+CTES["projected"] = f"""
+    SELECT s.customer_sk, list_dot_product([{', '.join('s.' + z for z in _Z)}], a.v) AS pca_1, list_dot_product([{', '.join('s.' + z for z in _Z)}], b.v) AS pca_2
+    FROM rfm_scaled s, component_1 a, component_2 b"""
 
 _NAME = re.compile(r"[a-z_0-9]+")
 

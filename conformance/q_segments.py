@@ -21,7 +21,7 @@ from tradewind.operators import clustering as cl
 from tradewind.operators import dbscan as density
 from tradewind.operators import rfm, segments
 from tradewind.operators import silhouette as sil
-from tradewind.operators.kmeans import fit_kmeans, weighted_points
+from tradewind.operators.kmeans import KMeansFit, fit_kmeans, weighted_points
 from tradewind.plans import segmentation
 from tradewind.session import materialize
 from tradewind.sources import models
@@ -302,7 +302,9 @@ def dbscan_core(spark, sf_dir):
 # Fitted models
 
 
-@query("dbscan")
+@query("dbscan", """SELECT s.customer_sk, c.cluster IS NOT NULL AS is_core, CAST(coalesce(c.cluster, b.cluster, -1) AS INTEGER) AS dbscan_cluster
+    FROM rfm_scaled s LEFT JOIN dense_clusters c USING (customer_sk)
+    LEFT JOIN (SELECT p.a AS customer_sk, min(k.cluster) AS cluster FROM dense_pairs p JOIN dense_clusters k ON p.b = k.customer_sk GROUP BY p.a) b USING (customer_sk)""")
 def dbscan(spark, sf_dir):
     return density.dbscan(scaled(spark, sf_dir), "customer_sk", _ZCOLS, density.RUN_EPS, density.RUN_MIN_SAMPLES)
 
@@ -320,10 +322,49 @@ def find_optimal_k(spark, sf_dir):
     return cl.find_optimal_k(scaled(spark, sf_dir).select(*_ZCOLS), _ZCOLS, max_k=8).scores
 
 
-@query("pca_project")
+_PLACED = "round(pca_1, 6) + 0 AS pca_1, round(pca_2, 6) + 0 AS pca_2"
+
+
+def _placed(rows, *columns):
+    out = rounded(rows.select(*columns, "pca_1", "pca_2"), "pca_1", "pca_2")
+    return out.withColumns({c: F.col(c) + F.lit(0.0) for c in ("pca_1", "pca_2")})
+
+
+@query("pca_project", f"SELECT customer_sk, {_PLACED} FROM projected")
 def pca_project(spark, sf_dir):
     rows = scaled(spark, sf_dir).select("customer_sk", *_ZCOLS)
-    return cl.project(rows, _ZCOLS, cl.fit_pca(rows, _ZCOLS)).select("customer_sk", "pca_1", "pca_2")
+    return _placed(cl.project(rows, _ZCOLS, cl.fit_pca(rows, _ZCOLS)), "customer_sk")
+
+
+@query("explained_variance", """SELECT CAST(i AS INTEGER) AS component, round(e / t, 6) AS share FROM (
+    SELECT unnest([1, 2]) AS i, unnest([a.eigenvalue, b.eigenvalue]) AS e, list_sum(list_transform(a.m, lambda r, i: r[i])) AS t FROM component_1 a, component_2 b)""")
+def explained_variance(spark, sf_dir):
+    shares = cl.fit_pca(scaled(spark, sf_dir).select(*_ZCOLS), _ZCOLS).explained
+    return rounded(spark.createDataFrame(list(enumerate(shares, 1)), "component int, share double"), "share")
+
+
+def _given_model(spark, sf_dir):
+    """A bundle with the fixed centroids and the components of the data, as it comes back from the folder it was saved in."""
+    data = scaled(spark, sf_dir)
+    stats, projection = cl.scaling(cl.feature_matrix(features(spark, sf_dir), "customer_sk"), FEATURE_COLUMNS), cl.fit_pca(data.select(*_ZCOLS), _ZCOLS)
+    scores = {"silhouette_squared": 0.0, "davies_bouldin": 0.0}
+    path = folder(spark, "model")
+    models.model_save(models.bundle(spark, FEATURE_COLUMNS, stats, KMeansFit(CENTROIDS, 0.0), projection, scores, data.count()), path)
+    return models.model_load(spark, path)
+
+
+@query("given_model_rows", f"SELECT customer_sk, kmeans_cluster, {_PLACED} FROM segments JOIN projected USING (customer_sk)")
+def given_model_rows(spark, sf_dir):
+    """Raw features through a stored pipeline: scaling, nearest centroid and projection."""
+    rows = features(spark, sf_dir).select("customer_sk", *FEATURE_COLUMNS)
+    return _placed(models.predict_segment(_given_model(spark, sf_dir), rows), "customer_sk", "kmeans_cluster")
+
+
+@query("given_model_centroids", " UNION ALL ".join(
+    f"SELECT CAST({i} AS INTEGER) AS kmeans_cluster, round(list_dot_product({list(map(float, c))}, a.v), 6) + 0 AS pca_1, round(list_dot_product({list(map(float, c))}, b.v), 6) + 0 AS pca_2 FROM component_1 a, component_2 b"
+    for i, c in enumerate(CENTROIDS)))
+def given_model_centroids(spark, sf_dir):
+    return _placed(segmentation.project_centroids(_given_model(spark, sf_dir)), "kmeans_cluster")
 
 
 def _run(spark, sf_dir):
