@@ -1,4 +1,3 @@
-import pytest
 import random
 import re
 
@@ -71,9 +70,30 @@ def test_odd_rows(spark):
     assert scanned(spark.createDataFrame([], DOCS)).collect() == []
 
 
-def test_a_template_that_does_not_fit_is_refused(spark, monkeypatch):
+def test_whole_license_texts_as_templates(spark):
+    long = [f"w{i}" for i in range(3000)]
+    given = spark.createDataFrame(
+        [(" ".join(long), "long"), (" ".join(long), "long"), ("V0, v1! V2 " + " ".join(f"v{i}" for i in range(3, 80)), "mid"), ("two words", "short"), (None, "none"), ("a b c d", None)],
+        "words string, label string",
+    )
+    v = [f"v{i}" for i in range(80)]
+    rows = [(1, " ".join(long)), (2, " ".join(v)), (3, " ".join(v[:64])), (4, " ".join(v[:60])), (5, "two words a b c d"), (6, " ".join(["x", *long[:1000], "y", "y", *long[1000:], *v]))]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in scanned(spark.createDataFrame(rows, DOCS), templates=given).collect()}
+    assert got == {1: ("long", 1.0), 2: ("mid", 1.0), 3: ("mid", 0.8), 4: ("", 0.0), 5: ("", 0.0), 6: ("long,mid", 1.0)}
+
+
+def test_words_decide_where_hashes_are_equal(spark, monkeypatch):
+    rows = [(1, "released under the mit license now"), (2, "words that no license has at all"), (3, ""), (4, "w " * 300 + "cc by nc"), (5, None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    want = sorted(map(tuple, scanned(docs).collect()), key=str)
+    monkeypatch.setattr(F, "xxhash64", lambda *columns: F.lit(5).cast("long"))
+    assert sorted(map(tuple, scanned(docs).collect()), key=str) == want
+
+
+def test_many_templates_are_joined_by_a_shuffle(spark, monkeypatch):
     from tradewind.llm import licenses
 
-    monkeypatch.setitem(licenses.TEMPLATES, " ".join(f"w{i}" for i in range(65)), "long")
-    with pytest.raises(ValueError):
-        licenses.scanned(spark.createDataFrame([(1, "text")], "doc_id long, text string"))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    want = sorted(map(tuple, scanned(docs).collect()))
+    monkeypatch.setattr(licenses, "BROADCAST_GRAMS", 0)
+    assert sorted(map(tuple, scanned(docs).collect())) == want

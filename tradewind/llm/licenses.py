@@ -1,9 +1,9 @@
 """License scan by diagonal voting.
 
 All rolling k-grams of a document's words are joined to the positions of the same k-grams in license templates. A hit votes for
-its offset diagonal (position in the document less position in the template); votes are the set of template positions, kept as bits, so that
-they reduce before the shuffle. Diagonals that are neighbours are merged, which follows small insertions and omissions, and a merged span
-counts if it covers enough of the template.
+its offset diagonal (position in the document less position in the template). Hashes bring words together, the words decide: a hit of other
+words than the template's has no vote. Votes are the set of template positions, which is no longer than the template. Diagonals that are
+neighbours are merged, which follows small insertions and omissions, and a merged span counts if its verified words cover enough of the template.
 """
 
 from __future__ import annotations
@@ -34,8 +34,11 @@ TEMPLATES = {
     "this is free and unencumbered software released into the public domain": "unlicense",
 }
 K = 3
+#: Template k-grams up to which they are sent to every task (some 50 MB); more are joined by a shuffle.
+BROADCAST_GRAMS = 500_000
 _WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_SENTINEL = 0
+#: Rows of no license that keep documents without a hit; as many keys, so that none gathers all documents.
+_SENTINELS = 1024
 
 
 def words(text: Column) -> Column:
@@ -45,59 +48,72 @@ def words(text: Column) -> Column:
 
 
 def _grams(w: Column) -> Column:
-    """Hashes of the k-grams of a word array; the array is named once, so it is computed once."""
+    """(hash, words) of the k-grams of a word array; the array is named once, so it is computed once."""
+    gram = lambda v, i: F.struct(
+        F.xxhash64(*[v[i + j] for j in range(K)]).alias("gram"), F.concat_ws(" ", *[v[i + j] for j in range(K)]).alias("said")
+    )
     return F.transform(
         F.array(w),
-        lambda v: F.when(F.size(v) < K, F.array().cast("array<bigint>")).otherwise(
-            F.transform(F.sequence(F.lit(0), F.size(v) - K), lambda i: F.xxhash64(*[v[i + j] for j in range(K)]))
+        lambda v: F.when(F.size(v) < K, F.array().cast("array<struct<gram: bigint, said: string>>")).otherwise(
+            F.transform(F.sequence(F.lit(0), F.size(v) - K), lambda i: gram(v, i))
         ),
     )[0]
 
 
-def _templates(spark: SparkSession) -> DataFrame:
-    """Positions of all template k-grams; a template's words have to fit into the 64 bits of a vote."""
-    rows = [(i, text, label, base) for i, (text, label, base) in enumerate(
-        [(t, x, True) for t, x in PHRASES.items()] + [(t, x, False) for t, x in TEMPLATES.items()]
-    )]
-    if long := [text for _, text, _, _ in rows if len(text.split(" ")) > 64]:
-        raise ValueError(f"templates of more than 64 words: {long}")
-    frame = spark.createDataFrame(rows, "template int, words string, label string, base boolean")
-    frame = frame.withColumn("w", F.split("words", " "))
-    return frame.select("template", "label", "base", F.size("w").alias("t_words"), F.posexplode(_grams(F.col("w"))).alias("t_pos", "gram"))
+def public_templates(spark: SparkSession) -> DataFrame:
+    """Rows (words, label) of :data:`TEMPLATES`."""
+    return spark.createDataFrame(list(TEMPLATES.items()), "words string, label string")
+
+
+def _positions(templates: DataFrame) -> DataFrame:
+    """Positions of all template k-grams, those of the phrases included."""
+    spark = templates.sparkSession
+    base = spark.createDataFrame(list(PHRASES.items()), "words string, label string").withColumn("base", F.lit(True))
+    given = templates.select(F.col("words").cast("string"), F.col("label").cast("string"), F.lit(False).alias("base"))
+    frame = base.union(given.where("label IS NOT NULL").distinct()).select("label", "base", words(F.col("words")).alias("w"))
+    # A template is named by what it says, so that its name does not depend on the order of rows.
+    name = F.sha2(F.to_json(F.struct("base", "label", "w")), 256)
+    frame = frame.select(name.alias("template"), "label", "base", F.size("w").alias("t_words"), F.posexplode(_grams(F.col("w"))).alias("t_pos", "g"))
+    none = spark.range(_SENTINELS).select(
+        F.lit("").alias("template"), F.lit(None).cast("string").alias("label"), F.lit(False).alias("base"), F.lit(0).alias("t_words"),
+        F.lit(0).alias("t_pos"), F.col("id").alias("gram"), F.lit("").alias("t_said"),
+    )
+    return frame.select("template", "label", "base", "t_words", "t_pos", "g.gram", F.col("g.said").alias("t_said")).distinct().union(none)
 
 
-def scanned(docs: DataFrame, least: float = 0.8, slack: int = 3) -> DataFrame:
+def scanned(docs: DataFrame, least: float = 0.8, slack: int = 3, templates: DataFrame | None = None) -> DataFrame:
     """Rows (doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score), one per row of ``docs``.
 
     n_base counts the exact places of the phrases, first_word and last_word are their least and greatest start. A merged span adds its
     template's label from a share ``least`` of its words on, if it is not longer than one and a half templates; diagonals up to ``slack`` apart
     are merged. score is the greatest share that counted (1 for a phrase), else 0. Labels are distinct, sorted, comma-joined, and empty
     where there are none. A null text is empty; repeated rows and ids give a row each; other columns are ignored.
+
+    ``templates`` are rows (words, label), cut into words like the documents; by default :func:`public_templates`. They may be whole license texts.
+    One without a label, or of fewer than three words, is never found; repeated ones count once.
     """
     spark = docs.sparkSession
-    templates = _templates(spark)
-    sentinel = spark.range(1).select(
-        F.lit(-1).alias("template"), F.lit(None).cast("string").alias("label"), F.lit(False).alias("base"), F.lit(0).alias("t_words"),
-        F.lit(0).alias("t_pos"), F.lit(_SENTINEL).cast("long").alias("gram"),
-    )
-    targets = F.broadcast(templates.union(sentinel))
-    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), words(F.col("text").cast("string")).alias("w"))
-    # Element 0 is a sentinel that the join keeps, so that documents without a hit stay.
-    both = F.transform(F.array(F.col("w")), lambda v: F.struct(F.size(v).cast("long").alias("n"), F.concat(F.array(F.lit(_SENTINEL).cast("long")), _grams(v)).alias("g")))[0]
+    targets = _positions(public_templates(spark) if templates is None else templates)
+    if targets.limit(BROADCAST_GRAMS + 1).count() <= BROADCAST_GRAMS:
+        targets = F.broadcast(targets)
+    row = F.monotonically_increasing_id()
+    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row.alias("row"), words(F.col("text").cast("string")).alias("w"))
+    # Element 0 meets a row of no license, so that documents without a hit stay.
+    first = F.array(F.struct(F.pmod("row", F.lit(_SENTINELS)).cast("long").alias("gram"), F.lit("").alias("said")))
+    both = F.transform(F.array(F.col("w")), lambda v: F.struct(F.size(v).cast("long").alias("n"), F.concat(first, _grams(v)).alias("g")))[0]
     cut = cut.select("doc_id", "row", both.alias("b"))
-    hits = cut.select("doc_id", "row", F.col("b.n").alias("n_words"), F.posexplode("b.g").alias("at", "gram"))
-    hits = hits.where((F.col("gram") != _SENTINEL) | (F.col("at") == 0)).join(targets, "gram")
+    hits = cut.select("doc_id", "row", F.col("b.n").alias("n_words"), F.posexplode("b.g").alias("at", "g"))
+    hits = hits.select("doc_id", "row", "n_words", "at", "g.gram", "g.said").join(targets, "gram").where("said = t_said AND (at = 0) = (template = '')")
     keys = ["doc_id", "row", "n_words", "template", "label", "base", "t_words"]
-    votes = hits.groupBy(*keys, (F.col("at") - 1 - F.col("t_pos")).alias("diagonal")).agg(
-        F.bit_or(F.expr("shiftleft(1L, t_pos)")).alias("bits")
-    )
-    # The words that the voting grams cover, as bits.
-    votes = votes.withColumn("bits", F.expr(" | ".join(f"shiftleft(bits, {j})" for j in range(K))))
+    votes = hits.groupBy(*keys, (F.col("at") - 1 - F.col("t_pos")).alias("diagonal")).agg(F.collect_set("t_pos").alias("votes"))
     order = Window.partitionBy("row", "template").orderBy("diagonal")
     part = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(order) > F.when(F.col("base"), 0).otherwise(slack)).cast("int"), F.lit(0))
     spans = votes.withColumn("new", part).withColumn("span", F.sum("new").over(order))
-    spans = spans.groupBy(*keys, "span").agg(F.bit_or("bits").alias("bits"), F.min("diagonal").alias("start"), F.max("diagonal").alias("last"))
-    share = F.when(F.col("t_words") > 0, F.bit_count("bits") / F.col("t_words")).otherwise(F.lit(0.0))
+    # One position at a time, so that a span of many diagonals holds each position once.
+    spans = spans.withColumn("vote", F.explode("votes")).groupBy(*keys, "span").agg(F.collect_set("vote").alias("votes"), F.min("diagonal").alias("start"), F.max("diagonal").alias("last"))
+    # The template's words under the voting grams.
+    covered = F.size(F.array_distinct(F.flatten(F.transform("votes", lambda p: F.sequence(p, p + (K - 1))))))
+    share = F.when(F.col("t_words") > 0, covered / F.col("t_words")).otherwise(F.lit(0.0))
     spans = spans.withColumn("share", share).withColumn(
         "counts", F.when(F.col("base"), F.col("share") == 1).otherwise((F.col("share") >= least) & (F.col("last") - F.col("start") <= F.col("t_words") / 2))
     )
