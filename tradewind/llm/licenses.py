@@ -60,15 +60,21 @@ def _grams(w: Column) -> Column:
     )[0]
 
 
+def _literals(spark: SparkSession, labels: dict[str, str]) -> DataFrame:
+    """Rows (words, label) as literals of the plan, which need no Python worker."""
+    rows = [F.struct(F.lit(text).alias("words"), F.lit(label).alias("label")) for text, label in labels.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
 def public_templates(spark: SparkSession) -> DataFrame:
     """Rows (words, label) of :data:`TEMPLATES`."""
-    return spark.createDataFrame(list(TEMPLATES.items()), "words string, label string")
+    return _literals(spark, TEMPLATES)
 
 
 def _positions(templates: DataFrame) -> DataFrame:
     """Positions of all template k-grams, those of the phrases included."""
     spark = templates.sparkSession
-    base = spark.createDataFrame(list(PHRASES.items()), "words string, label string").withColumn("base", F.lit(True))
+    base = _literals(spark, PHRASES).withColumn("base", F.lit(True))
     given = templates.select(F.col("words").cast("string"), F.col("label").cast("string"), F.lit(False).alias("base"))
     frame = base.union(given.where("label IS NOT NULL").distinct()).select("label", "base", words(F.col("words")).alias("w"))
     # A template is named by what it says, so that its name does not depend on the order of rows.
