@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tradewind.llm import fm_index, suffix_repeats
 from tradewind.llm.fm_index import FMIndex, WaveletMatrix, without_earlier_passages
+from tradewind.llm.repeats import _told
 from tradewind.llm.runs import sliding_minimum
 from tradewind.llm.suffix_repeats import SuffixArray, without_repeats
 
@@ -142,3 +143,38 @@ def test_odd_rows(spark):
     assert got == [(0, 300, 300), (1, 0, 300), (1, 0, 300), (2, 300, 301), (3, 0, 0)]
     empty = spark.createDataFrame([], DOCS)
     assert without_repeats(empty).collect() == [] and without_earlier_passages(empty).collect() == []
+
+
+@pytest.mark.parametrize("earlier", [True, False])
+def test_runs_of_one_content_are_dealt_over_tasks(spark, earlier):
+    """One content in 4000 documents, twice in the first, and one that stands once."""
+    rows = [(d, d * 7, 5, 6, 0, 3) for d in range(4000)] + [(0, 0, 5, 6, 90, 3), (1, 7, 5, 8, 40, 3)]
+    runs = spark.createDataFrame(rows, "id0 long, key long, anchor long, content long, first long, windows int")
+    contents = runs.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id0", "key", "first")).alias("rep"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = _told(runs, contents, earlier).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(got) == len(rows)
+    assert {(r["id0"], r["first"]) for r in got if r["stands"]} == {(0, 0), (1, 40)}
+    assert {(r["id0"], r["first"]) for r in got if not r["full"]} == ({(0, 0), (0, 90), (1, 40)} if earlier else {(1, 40)})
+    tasks = [r["task"] for r in got]
+    assert max(tasks.count(t) for t in set(tasks)) < len(rows) / 4
+
+
+def test_passages_of_over_fifty_words_below_400_bytes(spark):
+    """Fifty words are not 400 bytes: the word operator takes the later copy, the byte operator none until the passage is 400 bytes long."""
+    rng = random.Random(9)
+    own = lambda k: " ".join(f"{rng.randrange(1 << 30):x}" for _ in range(k))
+    short = " ".join(f"w{i:04}" for i in range(55))
+    long = " ".join(f"w{i:04}" for i in range(100, 170))
+    assert len(short) < 400 <= len(long)
+    rows = [(1, f"{own(90)} a {short} b {own(9)}"), (2, f"{own(9)} c {short} d {own(90)}"), (3, f"{own(9)} a {long} b {own(9)}"), (4, f"{own(9)} c {long} d {own(9)}")]
+    docs = spark.createDataFrame(rows, DOCS)
+    assert {r["doc_id"]: r["n_removed"] for r in without_earlier_passages(docs).collect()} == {1: 0, 2: 55, 3: 0, 4: 70}
+    assert {r["doc_id"]: r["n_removed"] for r in without_repeats(docs).collect()} == {1: 0, 2: 0, 3: len(long) + 2, 4: len(long) + 2}
