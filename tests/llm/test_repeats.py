@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tradewind.llm import fm_index, suffix_repeats
 from tradewind.llm.fm_index import FMIndex, WaveletMatrix, without_earlier_passages
-from tradewind.llm.repeats import _told
+from tradewind.llm.repeats import _jobs, _told
 from tradewind.llm.runs import sliding_minimum
 from tradewind.llm.suffix_repeats import SuffixArray, without_repeats
 
@@ -167,6 +167,31 @@ def test_runs_of_one_content_are_dealt_over_tasks(spark, earlier):
     assert max(tasks.count(t) for t in set(tasks)) < len(rows) / 4
 
 
+def test_contents_of_one_anchor_are_dealt_over_tasks(spark):
+    """An anchor with 3000 contents and one with 3: all pairs of an anchor's contents share a job, no task gets most of them."""
+    rows = [(5, c * 7919, c, 3, b"x") for c in range(3000)] + [(6, c, c, 3, b"y") for c in range(3)]
+    fetched = spark.createDataFrame(rows, "anchor long, content long, id0 long, windows int, symbols binary")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = _jobs(fetched, fetched.select("anchor", "content"), 1000).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    jobs = {}
+    for r in got:
+        jobs.setdefault((r["anchor"], r["a"], r["b"]), []).append(r["content"])
+    assert sorted(jobs) == [(5, 0, 0), (5, 0, 1), (5, 0, 2), (5, 1, 1), (5, 1, 2), (5, 2, 2), (6, 0, 0)]
+    blocks = {a: set(c) for (n, a, b), c in jobs.items() if n == 5 and a == b}
+    assert all(len(b) < 1200 for b in blocks.values()) and sum(len(b) for b in blocks.values()) == 3000
+    assert all(sorted(c) == sorted(blocks[a] | blocks[b]) for (n, a, b), c in jobs.items() if n == 5)
+    assert sorted(jobs[6, 0, 0]) == [0, 1, 2]
+    tasks = [r["task"] for r in got]
+    assert max(tasks.count(t) for t in set(tasks)) < len(got) / 4
+
+
 def test_passages_of_over_fifty_words_below_400_bytes(spark):
     """Fifty words are not 400 bytes: the word operator takes the later copy, the byte operator none until the passage is 400 bytes long."""
     rng = random.Random(9)
