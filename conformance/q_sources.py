@@ -59,14 +59,17 @@ _DAMAGED = """SELECT *, CASE WHEN CAST(order_id AS BIGINT) % 7 = 3 THEN 'ragged'
 
 def _damaged_items(spark, sf_dir) -> str:
     """Items as CSV lines: some lack their last values, some have a price that is none."""
-    path = folder(spark, "damaged")
-    sinks.csv_export(staging(spark, sf_dir)["stg_order_items"], path)
-    lines = spark.read.text(path)
+    path, items = folder(spark, "damaged"), staging(spark, sf_dir)["stg_order_items"]
+    sinks.csv_export(items, path)
+    header = ",".join(items.columns)
+    lines = spark.read.text(path).where(F.col("value") != header)
     number = F.split("value", ",")[0].try_cast("bigint")
     short = F.regexp_replace("value", ",[^,]*,[^,]*$", "")
     words = F.regexp_replace("value", ",[^,]*(,[^,]*)$", ",ten$1")
     out = F.when(number % 7 == 3, short).when(number % 11 == 5, words).otherwise(F.col("value"))
-    lines.select(out.alias("value")).write.text(f"{path}-lines")
+    # Each line is one value below the header: a large file is read in splits and becomes several files, of which each needs one.
+    plain = {"header": True, "quote": "", "sep": "\x01", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.select(out.alias(header)).write.options(**plain).csv(f"{path}-lines")
     return f"{path}-lines"
 
 

@@ -1,5 +1,6 @@
 import csv
 import random
+from datetime import datetime
 
 import pytest
 from hypothesis import given, settings
@@ -134,3 +135,22 @@ def test_a_source_that_can_not_be_read_does_not_stop_the_others(spark, tmp_path)
     loaded = dict(source_catalog(spark, str(tmp_path), files=names, rejected={}, failed=failed))
     assert loaded["stg_orders"] is None and failed["stg_orders"] not in ("", "missing")
     assert loaded["stg_order_items"].count() == 1
+
+
+def test_damaged_files_keep_their_header_when_read_in_splits(spark, tmp_path):
+    from conformance import load_all
+    from conformance.registry import QUERIES
+
+    load_all()
+    rows = [(i, 1 + i % 4, 7, 9, 10.5, 0.02, datetime(1996, 9, 13)) for i in range(2000)]
+    lines = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_tax double, l_shipdate timestamp_ntz"
+    spark.createDataFrame(rows, lines).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        got = {r["problem"]: r["n"] for r in QUERIES["rejected_records"](spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    ragged = sum(i % 7 == 3 for i in range(2000))
+    unreadable = sum(i % 7 != 3 and i % 11 == 5 for i in range(2000))
+    assert got == {"ragged": ragged, "unreadable:price": unreadable, "staged": 2000 - ragged - unreadable}
