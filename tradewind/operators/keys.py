@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.operators.ranking import global_row_number
-from tradewind.session import materialize
+from tradewind.session import materialize, write_parquet
 
 _COPY, _KNOWN = "_copy", "_known"
 
@@ -34,7 +34,7 @@ class KeyStore:
 
     def add(self, table: str, keys: DataFrame) -> None:
         if not keys.isEmpty():
-            keys.write.parquet(f"{self.folder}/{table}/load-{uuid.uuid4().hex}")
+            write_parquet(keys, f"{self.folder}/{table}/load-{uuid.uuid4().hex}")
 
 
 def with_copy_number(df: DataFrame, columns: list[str], order: list[str]) -> DataFrame:

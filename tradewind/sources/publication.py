@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tradewind.operators.quality import UNIQUE_KEYS, check_unique
+from tradewind.session import write_parquet
 from tradewind.sources.files import observed
 from tradewind.sources.schemas import WAREHOUSE
 
@@ -129,7 +130,7 @@ class Publication:
             rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in declared])
         path = f"{self.folder}/{layer}/{table}/{self.load}"
         counted, seen = observed(rows, f"{layer}.{table}")
-        counted.write.mode("errorifexists").parquet(path)
+        write_parquet(counted, path)
         version = Version(layer, table, path, seen.get["rows"], rows.schema.json())
         self.written[layer, table] = version
         return stored(self.spark, version), version.rows

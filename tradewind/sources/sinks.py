@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.operators.quality import UNIQUE_KEYS, check_unique
+from tradewind.session import write_parquet
 from tradewind.sources.files import observed
 from tradewind.sources.schemas import LAYERS, table_schema
 
@@ -70,7 +71,7 @@ def folder_sink(folder: str) -> Callable[[str, str, DataFrame], tuple[DataFrame,
     def write(layer: str, table: str, rows: DataFrame) -> tuple[DataFrame, int]:
         path = f"{folder.rstrip('/')}/{layer}/{table}"
         counted, seen = observed(rows, table)
-        counted.write.mode("overwrite").parquet(path)
+        write_parquet(counted, path, "overwrite")
         return rows.sparkSession.read.schema(rows.schema).parquet(path), seen.get["rows"]
 
     return write
