@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradewind.operators import clustering as cl
+from tradewind.operators import dbscan as density
 from tradewind.operators import kmeans
 from tradewind.operators import silhouette as sil
 from tradewind.operators.dbscan import connected_components, dbscan
@@ -249,3 +250,27 @@ def test_silhouette_of_copies_lone_rows_and_no_clusters(spark):
     assert value([([1.0], 0), ([2.0], 0)]) is None and value([]) is None
     far = [([1e6 + i], i // 3) for i in range(9)]
     assert value(far) == pytest.approx(silhouette(np.array([f[0] for f in far]), np.array([f[1] for f in far]), 1), abs=1e-7)
+
+
+def test_density_work_follows_the_neighbourhood_not_the_square(monkeypatch):
+    """Points of one coarse cell that differ in other features are told apart by boxes; dense ones are counted only as far as needed."""
+    rng = np.random.default_rng(5)
+    a, b = (np.concatenate([rng.uniform(0, 40, (1500, 5)) * [0.01, 0.01, 0.01, 1, 1], rng.normal(0, 0.05, (500, 5))]) for _ in range(2))
+    b[0, 0], weights = np.nan, rng.integers(1, 4, 2000)
+    pairs = 0
+    within = density._within
+
+    def seen(x, y, eps):
+        nonlocal pairs
+        pairs += len(x) * len(y)
+        return within(x, y, eps)
+
+    monkeypatch.setattr(density, "_within", seen)
+    got = density._counted(a, b, weights, 0.8, 10)
+    want = within(a, b, 0.8) @ weights
+    assert np.array_equal(np.minimum(got, 10), np.minimum(want, 10)) and (want >= 10).sum() >= 500
+    assert np.array_equal(got[want < 10], want[want < 10])
+    assert pairs < 0.1 * len(a) * len(b)
+    joined = [(i, j) for left, right in density._leaves(a, b, 0.8) for i in left for j in right[within(a[left][left == i], b[right], 0.8)[0]]]
+    i, j = np.nonzero(within(a, b, 0.8))
+    assert len(joined) == len(set(joined)) and set(joined) == set(zip(i, j))
