@@ -1,7 +1,7 @@
 """Headline queries, timed; prints one JSON line.
 
-Staging tables are written first (``staging_load``), then the star schema
-(``star_build``).
+Staging tables that are read several times are written first (``staging_load``),
+then the star schema (``star_build``).
 Builds (dimensions, facts, marts) are timed again on their own; reports read
 the written star schema, as reports of a warehouse do.
 """
